@@ -164,16 +164,20 @@ def candidate_edges(signed: DataFrame) -> DataFrame:
 
 
 def confirm(spark: SparkSession, docs: DataFrame, edges: DataFrame) -> DataFrame:
-    """Edges that hold on the full shingle sets of ``docs`` (rid, text)."""
+    """Edges that hold on the full shingle sets of ``docs`` (rid, text).
+
+    All joins are sort-merge joins: the edges grow with the corpus, so they are never
+    broadcast, however few they are, and hot keys can be split.
+    """
     partners = edges.groupBy("a").agg(F.count("*").alias("n"))
     salts = partners.select("a", F.ceil(F.col("n") / PARTNERS_PER_TASK).alias("salts"))
     dealt = edges.join(salts, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("salts")))
     wanted = edges.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
-    sets = scratch.table(spark, docs.join(wanted, "rid").select("rid", "text").mapInArrow(_sets, "rid long, hashes binary"), "shingles")
-    centres = salts.select(F.col("a").alias("rid"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt")).join(sets, "rid")
+    sets = scratch.table(spark, docs.join(wanted.hint("merge"), "rid").select("rid", "text").mapInArrow(_sets, "rid long, hashes binary"), "shingles")
+    centres = salts.select(F.col("a").alias("rid"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt")).hint("merge").join(sets, "rid")
     paired = (
-        dealt.join(sets.select(F.col("rid").alias("b"), F.col("hashes").alias("right")), "b")
-        .join(centres.select(F.col("rid").alias("a"), "salt", F.col("hashes").alias("left")), ["a", "salt"])
+        dealt.hint("merge").join(sets.select(F.col("rid").alias("b"), F.col("hashes").alias("right")), "b")
+        .join(centres.select(F.col("rid").alias("a"), "salt", F.col("hashes").alias("left")).hint("merge"), ["a", "salt"])
         .select("a", "b", "left", "right")
     )
     return paired.mapInArrow(_confirmed, "a long, b long")
