@@ -124,15 +124,18 @@ class Index:
         size = np.diff(np.r_[runs, len(order)])
         enough = np.repeat(size >= self.need[item[order[runs]]], size) if len(order) else np.zeros(0, bool)
         order = order[enough]
-        text, item, diagonal = text[order], item[order], diagonal[order]
-        if not len(text):
+        if not len(order):
             return none
+        pairs, pair = np.unique(pair[order], return_inverse=True)
         # Overlapping bands: each diagonal is in two.
-        step = self.edits[item] + 1
-        low = np.floor_divide(diagonal, step)
-        keys = np.concatenate([np.stack([text, item, low], 1), np.stack([text, item, low - 1], 1)])
-        bands, count = np.unique(keys, axis=0, return_counts=True)
-        bands = bands[count >= self.need[bands[:, 1]]]
+        low = np.floor_divide(diagonal[order], self.edits[item[order]] + 1)
+        least = int(low.min()) - 1
+        reach = int(low.max()) - least + 1
+        key = pair * reach + low - least
+        key, count = np.unique(np.concatenate([key, key - 1]), return_counts=True)
+        text, item = np.divmod(pairs[key // reach], len(self.ids))
+        ok = count >= self.need[item]
+        bands = np.stack([text[ok], item[ok], (key % reach + least)[ok]], axis=1)
         if not len(bands):
             return none
         return self._verified(data, offsets, bands)
@@ -145,19 +148,19 @@ class Index:
             first = low * (e + 1) - e  # leftmost diagonal of the alignment
             width = 4 * e + 2
             w, rows = int(width.max()), int(m.max())
-            column = np.arange(w)
+            column = np.arange(w, dtype=np.int32)
             size = offsets[text + 1] - offsets[text]
             best = np.full(len(text), np.iinfo(np.int32).max, dtype=np.int64)
             end = np.zeros(len(text), dtype=np.int64)
-            # Edits so far, with the free start of each cell carried in the low bits.
+            # Edits so far; a match may start anywhere.
             start = first[:, None] + column
-            row = np.where((start >= 0) & (start <= size[:, None]) & (column < width[:, None]), 0, 1 << 20).astype(np.int64)
+            row = np.where((start >= 0) & (start <= size[:, None]) & (column < width[:, None]), 0, 1 << 20).astype(np.int32)
             for i in range(1, rows + 1):
                 place = start + i - 1  # byte of the text that the cell reads
                 inside = (place >= 0) & (place < size[:, None]) & (column < width[:, None])
                 read = data[np.clip(place + offsets[text][:, None], 0, len(data) - 1)]
                 letter = self.data[np.minimum(self.offset[item] + i - 1, len(self.data) - 1)]
-                diagonal = row + np.where(inside & (read == letter[:, None]), 0, np.where(inside, 1, 1 << 20))
+                diagonal = row + np.where(inside, (read != letter[:, None]).astype(np.int32), np.int32(1 << 20))
                 drop = np.full_like(row, 1 << 20)
                 drop[:, :-1] = row[:, 1:] + 1
                 new = np.minimum(diagonal, drop)
