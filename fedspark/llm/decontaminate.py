@@ -132,7 +132,13 @@ class Index:
         least = int(low.min()) - 1
         reach = int(low.max()) - least + 1
         key = pair * reach + low - least
-        key, count = np.unique(np.concatenate([key, key - 1]), return_counts=True)
+        key = np.concatenate([key, key - 1])
+        spot = np.tile(self.place[entry[order]].astype(np.int64), 2)
+        bands_, which, count = np.unique(key, return_inverse=True, return_counts=True)
+        full = (count >= self.need[pairs[bands_ // reach] % len(self.ids)])[which]
+        # Each place of the item counts once: repetitive texts hit the same ones again and again.
+        longest = int(self.length.max()) + 1
+        key, count = np.unique(np.unique(key[full] * longest + spot[full]) // longest, return_counts=True)
         text, item = np.divmod(pairs[key // reach], len(self.ids))
         ok = count >= self.need[item]
         bands = np.stack([text[ok], item[ok], (key % reach + least)[ok]], axis=1)
