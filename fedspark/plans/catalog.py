@@ -6,12 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import relational
+from .. import ship
+from . import federated, relational
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {**relational.queries()}
+    return {name: _shipped(f) for name, f in {**relational.queries(), **federated.queries()}.items()}
+
+
+def _shipped(query):
+    """Python operators need the package on the executors."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        ship.ship(spark)
+        return query(spark, sf)
+
+    return run
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**relational.oracle_sql()}
+    return {**relational.oracle_sql(), **federated.oracle_sql()}
