@@ -188,6 +188,100 @@ def udtf_split(spark, sf):
     return spark.sql(f"SELECT d.doc_id, l.line_no, l.line FROM (SELECT doc_id, text FROM parquet.`{sf}/documents.parquet`) d, LATERAL split_lines(d.text) l")
 
 
+def scan_xlsx(spark, sf):
+    """A workbook of the suppliers, read back through Spark's own file access."""
+    from ..sources.excel import read_excel, workbook
+
+    supplier = _t(spark, sf, "supplier")
+    rows = [tuple(r) for r in supplier.orderBy("s_suppkey").limit(5000).toLocalIterator()]  # a sheet is a small thing
+    path = workdir.fresh(spark, "book") + ".xlsx"
+    fs, where = workdir.filesystem(spark, path)
+    out = fs.create(where, True)
+    out.write(bytearray(workbook(supplier.columns, rows)))
+    out.close()
+    return read_excel(spark, path, schema=supplier.schema)
+
+
+def schema_infer_merge(spark, sf):
+    """Types found in ragged records, as rows."""
+    from ..schema import infer_schema
+
+    records = [{"id": 1, "v": None, "u": {"name": "a", "score": 1}}, {"id": 2.5, "v": 4, "u": {"name": "b", "on": True}, "t": [1, 2.5]}, {"b": True}, {"b": 3, "e": {}, "l": []}]
+    return spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in infer_schema(records).fields], "name string, type string")
+
+
+def schema_evolve(spark, sf):
+    """The union of two tables' schemas, and what was added and removed."""
+    from ..schema import diff, evolve
+
+    old, new = _t(spark, sf, "customer").schema, _t(spark, sf, "supplier").schema
+    d = diff(old, new)
+    gone = {**dict.fromkeys(d.added, "added"), **dict.fromkeys(d.removed, "removed")}
+    return spark.createDataFrame([(f.name, f.dataType.simpleString(), gone.get(f.name, "same")) for f in evolve(old, new).fields], "name string, type string, change string")
+
+
+def _derby(spark, sf):
+    from ..engine import Engine
+
+    url = f"jdbc:derby:memory:db{abs(hash(workdir.fresh(spark, 'db')))};create=true"
+    con = spark._jvm.java.sql.DriverManager.getConnection(url)
+    s = con.createStatement()
+    s.executeUpdate("CREATE TABLE NATION (N_NATIONKEY INT PRIMARY KEY, N_NAME VARCHAR(40), N_REGIONKEY INT)")
+    for r in _t(spark, sf, "nation").collect():
+        s.executeUpdate(f"INSERT INTO NATION VALUES ({r['n_nationkey']}, '{r['n_name']}', {r['n_regionkey']})")
+    con.close()
+    engine = Engine(spark)
+    name = f"derby{abs(hash(url))}"
+    engine.attach(name, url, driver="org.apache.derby.jdbc.EmbeddedDriver")
+    return engine, name
+
+
+def scan_jdbc(spark, sf):
+    """Filter and aggregate run in the database."""
+    engine, db = _derby(spark, sf)
+    return engine.sql(f"SELECT N_REGIONKEY AS n_regionkey, count(*) AS n, max(N_NAME) AS last FROM {db}.APP.NATION WHERE N_NATIONKEY > 3 GROUP BY N_REGIONKEY")
+
+
+def dml_jdbc_update(spark, sf):
+    engine, db = _derby(spark, sf)
+    engine.sql(f"UPDATE {db}.APP.NATION SET N_NAME = 'X' WHERE N_REGIONKEY = ?", [1])
+    return engine.sql(f"SELECT N_NATIONKEY AS n_nationkey, N_NAME AS n_name FROM {db}.APP.NATION")
+
+
+def dml_jdbc_delete(spark, sf):
+    engine, db = _derby(spark, sf)
+    engine.sql(f"DELETE FROM {db}.APP.NATION WHERE N_REGIONKEY < 2")
+    return engine.sql(f"SELECT N_NATIONKEY AS n_nationkey FROM {db}.APP.NATION")
+
+
+def _attached(spark, sf):
+    from ..engine import Engine
+
+    engine = Engine(spark)
+    spark.sql("CREATE DATABASE IF NOT EXISTS star")
+    for t in ("nation", "region"):
+        spark.sql(f"DROP TABLE IF EXISTS star.{t}")
+        spark.sql(f"CREATE TABLE star.{t} USING parquet LOCATION '{sf}/{t}.parquet'")
+    engine.attached["star"] = {"kind": "file"}
+    return engine
+
+
+def list_tables(spark, sf):
+    return spark.createDataFrame([(t,) for t in _attached(spark, sf).list_tables("star")], "name string")
+
+
+def describe_table(spark, sf):
+    return spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in _attached(spark, sf).describe("star", "nation").fields], "name string, type string")
+
+
+def explain_report(spark, sf):
+    return _attached(spark, sf).sql("EXPLAIN SELECT n_name FROM star.nation JOIN star.region ON n_regionkey = r_regionkey")
+
+
+def quoted_names(spark, sf):
+    return _attached(spark, sf).sql('SELECT "n_name" AS "name" FROM "star"."nation" WHERE "n_regionkey" = 2')
+
+
 def agg_approx_distinct(spark, sf):
     return _t(spark, sf, "events").groupBy("event_type").agg(F.approx_count_distinct("user_id").alias("users"))
 
@@ -216,6 +310,14 @@ ORACLES = {
     "mv_refresh_incremental": _ORD + " WHERE o_orderstatus <> 'P'",
     "mv_upsert": "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders",
     "dml_insert_csv": "SELECT * FROM region UNION ALL VALUES (90, 'ATLANTIS'), (91, 'MU')",
+    "scan_xlsx": "SELECT * FROM supplier",
+    "schema_infer_merge": "SELECT * FROM (VALUES ('b', 'string'), ('e', 'string'), ('id', 'double'), ('l', 'array<string>'), ('t', 'array<double>'), ('u', 'struct<name:string,on:boolean,score:bigint>'), ('v', 'bigint')) v(name, type)",
+    "scan_jdbc": "SELECT n_regionkey, count(*) AS n, max(n_name) AS last FROM nation WHERE n_nationkey > 3 GROUP BY n_regionkey",
+    "dml_jdbc_update": "SELECT n_nationkey, CASE WHEN n_regionkey = 1 THEN 'X' ELSE n_name END AS n_name FROM nation",
+    "dml_jdbc_delete": "SELECT n_nationkey FROM nation WHERE n_regionkey >= 2",
+    "list_tables": "SELECT * FROM (VALUES ('nation'), ('region')) v(name)",
+    "describe_table": "SELECT * FROM (VALUES ('n_nationkey', 'int'), ('n_name', 'string'), ('n_regionkey', 'int')) v(name, type)",
+    "quoted_names": "SELECT n_name AS name FROM nation WHERE n_regionkey = 2",
     "udf_scalar": "SELECT item_id, CAST(length(regexp_replace(text, '[^aeiouAEIOU]', '', 'g')) AS BIGINT) AS n FROM benchmark",
     "udaf_pandas": r"SELECT lang, CAST(sum(len(list_filter(regexp_split_to_array(coalesce(text, ''), '\s+'), lambda x: x <> ''))) AS BIGINT) AS n FROM documents GROUP BY lang",
     "udtf_split": "SELECT doc_id, CAST(i - 1 AS BIGINT) AS line_no, lines[i] AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents), unnest(range(1, len(lines) + 1)) u(i)",
@@ -225,6 +327,7 @@ QUERIES = [
     scan_csv, scan_json, scan_path_sql, param_bind, join_asof, join_range, join_positional, join_salted, join_semijoin_reduced, join_cross_source, set_union_by_name,
     cdc_changes_since, cdc_classify, cdc_batch_limit, cdc_stream_available_now, stream_tumbling, mv_create_query, mv_refresh_full, mv_refresh_incremental, mv_upsert,
     dml_insert_csv, udf_scalar, udaf_pandas, udtf_split, agg_approx_distinct,
+    scan_xlsx, schema_infer_merge, schema_evolve, scan_jdbc, dml_jdbc_update, dml_jdbc_delete, list_tables, describe_table, explain_report, quoted_names,
 ]
 
 

@@ -117,9 +117,9 @@ SQL: dict[str, str | tuple[str, str]] = {
     ),
     "column_max": "SELECT max(o_orderdate) AS hwm FROM {orders}",
     # windows
-    "win_row_number": "SELECT o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS r FROM {orders}",
-    "win_rank_dense": "SELECT l_orderkey, l_linenumber, rank() OVER (PARTITION BY l_suppkey ORDER BY l_quantity) AS r, dense_rank() OVER (PARTITION BY l_suppkey ORDER BY l_quantity) AS d FROM {lineitem}",
-    "win_ntile_pct": "SELECT c_custkey, ntile(4) OVER (PARTITION BY c_nationkey ORDER BY c_acctbal, c_custkey) AS q, percent_rank() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal, c_custkey) AS p, cume_dist() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal, c_custkey) AS cd FROM {customer}",
+    "win_row_number": "SELECT o_orderkey, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS BIGINT) AS r FROM {orders}",
+    "win_rank_dense": "SELECT l_orderkey, l_linenumber, CAST(rank() OVER (PARTITION BY l_suppkey ORDER BY l_quantity) AS BIGINT) AS r, CAST(dense_rank() OVER (PARTITION BY l_suppkey ORDER BY l_quantity) AS BIGINT) AS d FROM {lineitem}",
+    "win_ntile_pct": "SELECT c_custkey, CAST(ntile(4) OVER (PARTITION BY c_nationkey ORDER BY c_acctbal, c_custkey) AS BIGINT) AS q, percent_rank() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal, c_custkey) AS p, cume_dist() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal, c_custkey) AS cd FROM {customer}",
     "win_lag_lead": "SELECT event_id, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before, lead(event_id, 2) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS after FROM {events}",
     "win_first_last": "SELECT event_id, first_value(event_id) OVER w AS f, last_value(event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS l, nth_value(event_id, 2) OVER w AS second FROM {events} WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)",
     "win_ignore_nulls": (
