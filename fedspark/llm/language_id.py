@@ -84,10 +84,10 @@ def train(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
             yield pa.RecordBatch.from_arrays([pa.array([x] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(v[at])], names=["lang", "bucket", "n"])
 
     summed = labelled.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    langs = sorted(r["lang"] for r in summed.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect())
-    if len(langs) > MOST_LANGUAGES:
+    table = summed.limit(MOST_LANGUAGES * BUCKETS + 1).toArrow()
+    if table.num_rows > MOST_LANGUAGES * BUCKETS:
         raise ValueError(f"more than {MOST_LANGUAGES} languages; the matrix would not be small enough to broadcast")
-    table = summed.toArrow()
+    langs = sorted(set(table.column("lang").to_pylist()))
     counts = np.zeros((BUCKETS, len(langs)))
     index = {x: i for i, x in enumerate(langs)}
     column = np.array([index[x] for x in table.column("lang").to_pylist()], dtype=np.int64)
