@@ -17,6 +17,16 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Rows dealt over all cores where the files give fewer scan tasks than there are cores.
+
+    A table of one small file would else be worked on by one core; a large one has more
+    splits than cores and stays where it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def tokenizer_file(name: str) -> str:
     import public_tokenizers
 
@@ -31,23 +41,23 @@ def byte_tokenizer(path: str | None = None) -> str:
 
 
 def op1(spark, sf):
-    return license_scan.scan(_read(spark, sf, "documents"))
+    return license_scan.scan(_spread(_read(spark, sf, "documents")))
 
 
 def op2(spark, sf):
-    return substring_dedup.remove_repeats(_read(spark, sf, "documents"), digest=True)
+    return substring_dedup.remove_repeats(_spread(_read(spark, sf, "documents")), digest=True)
 
 
 def op3(spark, sf):
-    return html_extract.main_text(_read(spark, sf, "pages"))
+    return html_extract.main_text(_spread(_read(spark, sf, "pages")))
 
 
 def op4(spark, sf):
-    return language_id.identify(_read(spark, sf, "documents"))
+    return language_id.identify(_spread(_read(spark, sf, "documents")))
 
 
 def op5(spark, sf):
-    return bpe.round_trip(_read(spark, sf, "documents"), byte_tokenizer())
+    return bpe.round_trip(_spread(_read(spark, sf, "documents")), byte_tokenizer())
 
 
 def op6(spark, sf):
@@ -56,19 +66,19 @@ def op6(spark, sf):
 
 def op7(spark, sf):
     with open(tokenizer_file("piece_bpe_32k.model"), "rb") as f:
-        return token_counts.count_tokens(_read(spark, sf, "documents"), f.read())
+        return token_counts.count_tokens(_spread(_read(spark, sf, "documents")), f.read())
 
 
 def op8(spark, sf):
-    return decontaminate.find(_read(spark, sf, "documents"), _read(spark, sf, "benchmark"))
+    return decontaminate.find(_spread(_read(spark, sf, "documents")), _read(spark, sf, "benchmark"))
 
 
 def op9(spark, sf):
-    return minhash.near_duplicates(_read(spark, sf, "documents"))
+    return minhash.near_duplicates(_spread(_read(spark, sf, "documents")))
 
 
 def op10(spark, sf):
-    return quality.judge(_read(spark, sf, "documents"))
+    return quality.judge(_spread(_read(spark, sf, "documents")))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -95,8 +105,8 @@ def _license_sql() -> str:
 WITH low AS (SELECT doc_id, {ALPHABET.format("coalesce(text, '')")} AS t FROM documents),
 d AS (SELECT doc_id, {words.format("t")} AS w FROM low),
 phrases AS (SELECT label, string_split(p, ' ') AS pw FROM (VALUES {phrases}) v(label, p)),
-places AS (SELECT doc_id, label, i - 1 AS at FROM d, phrases, unnest(range(1, len(w) + 1)) u(i) WHERE w[i:i + len(pw) - 1] = pw),
-base AS (SELECT doc_id, count(*) AS n, min(at) AS lo, max(at) AS hi, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM places GROUP BY doc_id),
+places AS (SELECT doc_id, label, i - 1 AS place FROM d, phrases, unnest(range(1, len(w) + 1)) u(i) WHERE w[i:i + len(pw) - 1] = pw),
+base AS (SELECT doc_id, count(*) AS n, min(place) AS lo, max(place) AS hi, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM places GROUP BY doc_id),
 tokens AS (SELECT DISTINCT id, label, unnest({words.format("t")}) AS word FROM (VALUES {templates}) v(id, label, t)),
 sizes AS (SELECT id, count(*) AS n FROM tokens GROUP BY id),
 lines AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM low),
