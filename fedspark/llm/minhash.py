@@ -13,15 +13,17 @@ text is one shingle; no words, no set).  Documents with 100 * |A n B| >= 75 *
 3. Slots are cut into 32 bands of 4 and 16 of 8.  A bucket gives one edge from each
    member to its least member (a star), so n members give n - 1 edges, never
    n * (n - 1) / 2.  The wide bands find partners that share a crowded bucket with
-   unrelated texts whose common passage filled all four slots.
+   unrelated texts whose common passage filled all four slots; besides, members that
+   their centre turns out not to resemble are dealt again by pairs of bands (eight
+   slots), with new stars.
 4. Edges are confirmed on the full sets.  A centre with many partners is dealt out
    over several tasks (salted by the number of its partners).
 5. Least labels travel along confirmed links, with pointer jumping, until nothing
    changes; each round is a written table.
 
 A pair at similarity 0.75 shares no narrow band with a chance of 5e-6, at 0.8 of
-5e-8.  It is lost only if, besides, no chain of confirmed edges connects it: see
-README for the recall measured against brute force.
+5e-8.  Of those that share one, it is lost only if all their stars have a centre that
+does not resemble one of them: see README for the recall against brute force.
 
 Defined cases: null and empty texts get no shingles, their own doc_id and are
 kept; a null doc_id counts as the smallest (component null); rows that share a
@@ -156,15 +158,36 @@ def _confirmed(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
 
-def candidate_edges(signed: DataFrame) -> DataFrame:
-    """Star edges (a, b), a < b, of all buckets; each pair once."""
-    rows = signed.select("rid", F.explode("bands").alias("bucket"))
+def stars(rows: DataFrame) -> DataFrame:
+    """(bucket, a, rid): each member of a bucket with its least member, from (rid, bucket)."""
     centre = rows.groupBy("bucket").agg(F.min("rid").alias("a"), F.max("rid").alias("z")).where("a < z").select("bucket", "a")
-    return rows.join(centre, "bucket").where("a < rid").select("a", F.col("rid").alias("b")).distinct()
+    return rows.join(centre, "bucket").where("a < rid").select("bucket", "a", "rid")
 
 
-def confirm(spark: SparkSession, docs: DataFrame, edges: DataFrame) -> DataFrame:
-    """Edges that hold on the full shingle sets of ``docs`` (rid, text).
+def _edges(memberships: DataFrame) -> DataFrame:
+    return memberships.select("a", F.col("rid").alias("b")).distinct()
+
+
+def deeper(signed: DataFrame, memberships: DataFrame, links: DataFrame) -> DataFrame:
+    """(rid, bucket) of members that their centre does not resemble, dealt by a second band as well.
+
+    Such members met an unrelated centre in a crowded bucket.  Texts that resemble each
+    other share about ten narrow bands, so they meet again in many pairs of bands.
+    """
+    failed = memberships.join(links.select("a", F.col("b").alias("rid")), ["a", "rid"], "left_anti").select("rid", "bucket").distinct()
+    others = signed.select("rid", F.slice("bands", 1, SLOTS // NARROW).alias("others"))
+    pairs = failed.join(others, "rid").select("rid", "bucket", F.explode("others").alias("other")).where("bucket <> other")
+    return pairs.select("rid", F.xxhash64(F.least("bucket", "other"), F.greatest("bucket", "other")).alias("bucket")).distinct()
+
+
+def shingle_table(spark: SparkSession, docs: DataFrame, edges: DataFrame) -> DataFrame:
+    """(rid, hashes): the full sets of all texts that stand in an edge; ``docs`` has (rid, text)."""
+    wanted = edges.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
+    return scratch.table(spark, docs.join(wanted.hint("merge"), "rid").select("rid", "text").mapInArrow(_sets, "rid long, hashes binary"), "shingles")
+
+
+def confirm(sets: DataFrame, edges: DataFrame) -> DataFrame:
+    """Edges that hold on the full shingle sets.
 
     All joins are sort-merge joins: the edges grow with the corpus, so they are never
     broadcast, however few they are, and hot keys can be split.
@@ -172,11 +195,10 @@ def confirm(spark: SparkSession, docs: DataFrame, edges: DataFrame) -> DataFrame
     partners = edges.groupBy("a").agg(F.count("*").alias("n"))
     salts = partners.select("a", F.ceil(F.col("n") / PARTNERS_PER_TASK).alias("salts"))
     dealt = edges.join(salts, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("salts")))
-    wanted = edges.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
-    sets = scratch.table(spark, docs.join(wanted.hint("merge"), "rid").select("rid", "text").mapInArrow(_sets, "rid long, hashes binary"), "shingles")
     centres = salts.select(F.col("a").alias("rid"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt")).hint("merge").join(sets, "rid")
     paired = (
-        dealt.hint("merge").join(sets.select(F.col("rid").alias("b"), F.col("hashes").alias("right")), "b")
+        dealt.hint("merge")
+        .join(sets.select(F.col("rid").alias("b"), F.col("hashes").alias("right")), "b")
         .join(centres.select(F.col("rid").alias("a"), "salt", F.col("hashes").alias("left")).hint("merge"), ["a", "salt"])
         .select("a", "b", "left", "right")
     )
@@ -222,10 +244,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # Members point at the head of their set; classes of one row need no link.
     copies = with_set.select("rid", *prints).join(classes.where("head < tail"), prints).where("rid > head").select(F.col("head").alias("a"), F.col("rid").alias("b")).distinct()
     heads = with_set.join(classes.select(F.col("head").alias("rid"), *prints), ["rid", *prints], "left_semi")
-    edges = scratch.table(spark, candidate_edges(heads), "edges")
+    met = scratch.table(spark, stars(heads.select("rid", F.explode("bands").alias("bucket"))), "stars")
+    tried = scratch.table(spark, _edges(met), "edges")
+    sets = shingle_table(spark, keyed, tried)
+    found = scratch.table(spark, confirm(sets, tried).distinct(), "links")
+    again = _edges(stars(deeper(heads, met, found))).join(tried, ["a", "b"], "left_anti")
+    more = confirm(sets, scratch.table(spark, again, "edges"))
     # A doc_id on several rows may have several sets; its heads are then one node.
     several = signed.groupBy("rid").agg(F.count("*").alias("n")).where("n > 1").select(F.col("rid").alias("b"))
-    links = confirm(spark, keyed, edges).unionAll(copies.join(several, "b", "left_semi").select("a", "b")).distinct()
+    links = found.unionAll(more).unionAll(copies.join(several, "b", "left_semi").select("a", "b")).distinct()
     near = components(spark, scratch.table(spark, links, "confirmed"))
     return _labelled(signed, copies, near)
 

@@ -1,3 +1,4 @@
+import random
 from itertools import combinations
 
 from fedspark.llm import minhash
@@ -42,6 +43,26 @@ def test_real_documents(spark):
     assert sum(not r[3] for r in got) > 50
 
 
+def test_crowded_buckets(spark):
+    """A passage that makes up half of many unrelated texts must not hide the copies among them."""
+    r = random.Random(3)
+    word = lambda: f"w{r.randrange(10**6)}"
+    passage = [word() for _ in range(60)]
+    texts = []
+    for _ in range(500):
+        own = [word() for _ in range(60)]
+        texts.append(" ".join(passage + own))
+        if r.random() < 0.2:
+            for _ in range(r.randrange(1, 3)):
+                other = own[:]
+                for _ in range(r.randrange(1, 4)):
+                    other[r.randrange(60)] = word()
+                texts.append(" ".join(passage + other))
+    r.shuffle(texts)
+    df = make(spark, texts)
+    assert sorted(map(tuple, minhash.near_duplicates(df).collect()), key=str) == brute([(x.doc_id, x.text) for x in df.collect()])
+
+
 def test_components_of_a_path(spark):
     n = 200
     links = spark.createDataFrame([(min(i, i + 1), max(i, i + 1)) for i in range(n)], "a long, b long")
