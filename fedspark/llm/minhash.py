@@ -15,7 +15,8 @@ text is one shingle; no words, no set).  Documents with 100 * |A n B| >= 75 *
    n * (n - 1) / 2.  The wide bands find partners that share a crowded bucket with
    unrelated texts whose common passage filled all four slots; besides, members that
    their centre turns out not to resemble are dealt again by pairs of bands (eight
-   slots), with new stars.
+   slots), with new stars, and tried with a second centre of each of their buckets,
+   drawn anew in every bucket.
 4. Edges are confirmed on the full sets.  A centre with many partners is dealt out
    over several tasks (salted by the number of its partners).
 5. Least labels travel along confirmed links, with pointer jumping, until nothing
@@ -159,22 +160,41 @@ def _confirmed(batches):
 
 
 def stars(rows: DataFrame) -> DataFrame:
-    """(bucket, a, rid): each member of a bucket with its least member, from (rid, bucket)."""
-    centre = rows.groupBy("bucket").agg(F.min("rid").alias("a"), F.max("rid").alias("z")).where("a < z").select("bucket", "a")
-    return rows.join(centre, "bucket").where("a < rid").select("bucket", "a", "rid")
+    """(bucket, a, near, rid): each member of a bucket with its least member, from (rid, bucket).
+
+    ``near`` is a second centre: the member nearest to the bucket's key by exclusive or,
+    so a text meets another one in each of its buckets.
+    """
+    near = F.min(F.col("rid").bitwiseXOR(F.col("bucket"))).bitwiseXOR(F.col("bucket"))
+    centre = rows.groupBy("bucket").agg(F.min("rid").alias("a"), F.max("rid").alias("z"), near.alias("near")).where("a < z").drop("z")
+    return rows.join(centre, "bucket").where("a < rid").select("bucket", "a", "near", "rid")
 
 
 def _edges(memberships: DataFrame) -> DataFrame:
     return memberships.select("a", F.col("rid").alias("b")).distinct()
 
 
-def deeper(signed: DataFrame, memberships: DataFrame, links: DataFrame) -> DataFrame:
-    """(rid, bucket) of members that their centre does not resemble, dealt by a second band as well.
+def unlike(memberships: DataFrame, links: DataFrame) -> DataFrame:
+    """Members that their centre does not resemble."""
+    return memberships.join(links.select("a", F.col("b").alias("rid")), ["a", "rid"], "left_anti")
+
+
+def second_stars(failed: DataFrame) -> DataFrame:
+    """(a, b): members that failed at their centre with the second centre of the same bucket.
+
+    The second centre may be one that did resemble the first, which dealing the failed
+    members among themselves would never reach.
+    """
+    return failed.where("near not in (rid, a)").select(F.col("near").alias("a"), F.col("rid").alias("b")).distinct()
+
+
+def deeper(signed: DataFrame, memberships: DataFrame) -> DataFrame:
+    """(rid, bucket) of members that failed at their centre, dealt by a second band as well.
 
     Such members met an unrelated centre in a crowded bucket.  Texts that resemble each
     other share about ten narrow bands, so they meet again in many pairs of bands.
     """
-    failed = memberships.join(links.select("a", F.col("b").alias("rid")), ["a", "rid"], "left_anti").select("rid", "bucket").distinct()
+    failed = memberships.select("rid", "bucket").distinct()
     others = signed.select("rid", F.slice("bands", 1, SLOTS // NARROW).alias("others"))
     pairs = failed.join(others, "rid").select("rid", "bucket", F.explode("others").alias("other")).where("bucket <> other")
     return pairs.select("rid", F.xxhash64(F.least("bucket", "other"), F.greatest("bucket", "other")).alias("bucket")).distinct()
@@ -248,8 +268,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     tried = scratch.table(spark, _edges(met), "edges")
     sets = shingle_table(spark, keyed, tried)
     found = scratch.table(spark, confirm(sets, tried).distinct(), "links")
-    again = _edges(stars(deeper(heads, met, found))).join(tried, ["a", "b"], "left_anti")
-    more = confirm(sets, scratch.table(spark, again, "edges"))
+    failed = scratch.table(spark, unlike(met, found), "failed")
+    again = _edges(stars(deeper(heads, failed))).unionAll(second_stars(failed)).distinct().join(tried, ["a", "b"], "left_anti")
+    more = confirm(sets, scratch.table(spark, again, "edges")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     # A doc_id on several rows may have several sets; its heads are then one node.
     several = signed.groupBy("rid").agg(F.count("*").alias("n")).where("n > 1").select(F.col("rid").alias("b"))
     links = found.unionAll(more).unionAll(copies.join(several, "b", "left_semi").select("a", "b")).distinct()
