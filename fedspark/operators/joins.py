@@ -9,23 +9,45 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def asof_join(left: DataFrame, right: DataFrame, on: str, by: list[str], columns: list[str], tie: str | None = None) -> DataFrame:
+def asof_join(left: DataFrame, right: DataFrame, on: str, by: list[str], columns: list[str], tie: str | None = None, width: float | None = None) -> DataFrame:
     """Each left row with ``columns`` of the last right row of its ``by`` group whose ``on`` is not later.
 
     One shuffle on ``by``: both sides are put in one stream, and the last right value so
-    far is carried along a window.  Rows without a match keep nulls; of right rows with
-    equal ``on`` the one with the greatest ``tie`` counts.
+    far is carried along a window.  Rows without a match, or with a null in ``by`` or
+    ``on``, keep nulls; of right rows with equal ``on`` the one with the greatest ``tie``
+    counts.
+
+    With ``width`` (seconds, or units of ``on``) a group is cut into slices of that width,
+    each a partition of its own; what a slice begins with comes from the last right rows
+    of the slices before, one row a slice.  So a hot group is spread over all tasks.
     """
+    right = right.dropna(subset=[*by, on])
     payload = F.struct(*[F.col(c) for c in columns])
     low = F.col(tie) if tie else F.lit(0)
     lefts = left.select(*by, on, F.lit(1).alias("_side"), F.lit(None).cast(low_type(right, tie)).alias("_tie"), F.struct(*[F.col(c) for c in left.columns]).alias("_row"), F.lit(None).cast(right.select(payload.alias("p")).schema["p"].dataType).alias("_seen"))
     rights = right.select(*by, on, F.lit(0).alias("_side"), low.cast(low_type(right, tie)).alias("_tie"), F.lit(None).cast(lefts.schema["_row"].dataType).alias("_row"), payload.alias("_seen"))
-    w = Window.partitionBy(*by).orderBy(F.col(on), F.col("_side"), F.col("_tie")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = lefts.unionByName(rights).withColumn("_last", F.last("_seen", ignorenulls=True).over(w)).where("_side = 1")
+    stream = lefts.unionByName(rights)
+    keys = list(by)
+    if width:
+        stream = stream.withColumn("_slice", F.floor(_number(dict(left.dtypes), on) / width))
+        keys.append("_slice")
+    w = Window.partitionBy(*keys).orderBy(F.col(on), F.col("_side"), F.col("_tie")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = stream.withColumn("_last", F.last("_seen", ignorenulls=True).over(w)).where("_side = 1")
+    if width:
+        ends = stream.groupBy(*keys).agg(F.max_by("_seen", F.when(F.col("_side") == 0, F.struct(on, "_tie"))).alias("_end"))
+        before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+        carried = ends.select(*keys, F.last("_end", ignorenulls=True).over(before).alias("_carried")).where("_carried is not null")
+        out = out.join(carried, keys, "left").withColumn("_last", F.coalesce("_last", "_carried"))
     names = [F.col(f"_last.{c}").alias(c if c not in left.columns else f"right_{c}") for c in columns]
     return out.select("_row.*", *names)
 
 
+def _number(kinds: dict[str, str], c: str) -> Column:
+    """A column as a double; times as seconds."""
+    time = kinds[c] in ("timestamp", "timestamp_ntz", "date")
+    return F.unix_timestamp(F.col(c).cast("timestamp")).cast("double") if time else F.col(c).cast("double")
+
+
 def low_type(right: DataFrame, tie: str | None) -> str:
     return right.schema[tie].dataType.simpleString() if tie else "int"
 
@@ -37,11 +59,7 @@ def range_join(points: DataFrame, spans: DataFrame, point: str, start: str, end:
     no pair of rows is compared that does not share a bucket.
     """
     kinds = {**dict(points.dtypes), **dict(spans.dtypes)}
-
-    def value(c: str) -> Column:
-        time = kinds[c] in ("timestamp", "timestamp_ntz")
-        return F.unix_timestamp(F.col(c).cast("timestamp")).cast("double") if time else F.col(c).cast("double")
-
+    value = lambda c: _number(kinds, c)
     p = points.withColumn("_bucket", F.floor(value(point) / width))
     s = spans.where(F.col(start) < F.col(end)).withColumn("_bucket", F.explode(F.sequence(F.floor(value(start) / width), F.floor(value(end) / width))))
     return p.join(s, "_bucket").where((F.col(point) >= F.col(start)) & (F.col(point) < F.col(end))).drop("_bucket")

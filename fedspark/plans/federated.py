@@ -43,6 +43,13 @@ def join_asof(spark, sf):
     return asof_join(events.select("event_id", "user_id", "ts"), buys, "ts", ["user_id"], ["buy_id"]).select("event_id", "buy_id")
 
 
+def join_asof_sliced(spark, sf):
+    """The same with each user's events cut into slices of a day."""
+    events = _t(spark, sf, "events")
+    buys = events.where("event_type = 'purchase'").select("user_id", "ts", F.col("event_id").alias("buy_id"))
+    return asof_join(events.select("event_id", "user_id", "ts"), buys, "ts", ["user_id"], ["buy_id"], tie="buy_id", width=86400).select("event_id", "buy_id")
+
+
 def join_range(spark, sf):
     sizes = spark.createDataFrame([(0, 10, "s"), (10, 30, "m"), (30, 60, "l"), (5, 15, "x")], "lo int, hi int, band string")
     return range_join(_t(spark, sf, "part").select("p_partkey", "p_size"), sizes, "p_size", "lo", "hi", 10).select("p_partkey", "band")
@@ -294,6 +301,7 @@ ORACLES = {
     "scan_path_sql": "SELECT * FROM nation",
     "param_bind": "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 200000",
     "join_asof": "SELECT e.event_id, b.buy_id FROM events e ASOF LEFT JOIN (SELECT user_id, ts, max(event_id) AS buy_id FROM events WHERE event_type = 'purchase' GROUP BY user_id, ts) b ON e.user_id = b.user_id AND e.ts >= b.ts",
+    "join_asof_sliced": "SELECT e.event_id, b.buy_id FROM events e ASOF LEFT JOIN (SELECT user_id, ts, max(event_id) AS buy_id FROM events WHERE event_type = 'purchase' GROUP BY user_id, ts) b ON e.user_id = b.user_id AND e.ts >= b.ts",
     "join_range": "SELECT p_partkey, band FROM part JOIN (VALUES (0, 10, 's'), (10, 30, 'm'), (30, 60, 'l'), (5, 15, 'x')) v(lo, hi, band) ON p_size >= lo AND p_size < hi",
     "join_positional": "SELECT n_name, r_name FROM (SELECT n_name, row_number() OVER (ORDER BY n_name) AS k FROM nation) FULL JOIN (SELECT r_name, row_number() OVER (ORDER BY r_name) AS k FROM region) USING (k)",
     "join_salted": "SELECT o_orderstatus, count(*) AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_orderstatus",
@@ -324,7 +332,7 @@ ORACLES = {
 }
 
 QUERIES = [
-    scan_csv, scan_json, scan_path_sql, param_bind, join_asof, join_range, join_positional, join_salted, join_semijoin_reduced, join_cross_source, set_union_by_name,
+    scan_csv, scan_json, scan_path_sql, param_bind, join_asof, join_asof_sliced, join_range, join_positional, join_salted, join_semijoin_reduced, join_cross_source, set_union_by_name,
     cdc_changes_since, cdc_classify, cdc_batch_limit, cdc_stream_available_now, stream_tumbling, mv_create_query, mv_refresh_full, mv_refresh_incremental, mv_upsert,
     dml_insert_csv, udf_scalar, udaf_pandas, udtf_split, agg_approx_distinct,
     scan_xlsx, schema_infer_merge, schema_evolve, scan_jdbc, dml_jdbc_update, dml_jdbc_delete, list_tables, describe_table, explain_report, quoted_names,
