@@ -72,3 +72,14 @@ def test_components_of_a_path(spark):
 
 def test_empty_table(spark):
     assert minhash.near_duplicates(make(spark, [])).count() == 0
+
+
+def test_second_centres(spark):
+    """Every bucket has a second centre out of its own members, and failed members meet it."""
+    rows = [(rid, bucket) for bucket in (5, -7, 1 << 62) for rid in range(40)] + [(99, 3)]
+    met = minhash.stars(spark.createDataFrame(rows, "rid long, bucket long"))
+    near = {r.bucket: r.near for r in met.collect()}
+    assert near == {b: min(range(40), key=lambda x, b=b: x ^ b) for b in (5, -7, 1 << 62)}
+    links = spark.createDataFrame([(0, 2), (0, 5)], "a long, b long")
+    got = {tuple(r) for r in minhash.second_stars(minhash.unlike(met, links)).collect()}
+    assert got == {(c, x) for c in near.values() for x in range(1, 40) if c not in (0, x) and x not in (2, 5)}
