@@ -14,17 +14,20 @@ text is one shingle; no words, no set).  Documents with 100 * |A n B| >= 75 *
    member to its least member (a star), so n members give n - 1 edges, never
    n * (n - 1) / 2.  The wide bands find partners that share a crowded bucket with
    unrelated texts whose common passage filled all four slots; besides, members that
-   their centre turns out not to resemble are dealt again by pairs of bands (eight
-   slots), with new stars, and tried with a second centre of each of their buckets,
-   drawn anew in every bucket.
+   their centre turns out not to resemble are tried with a second centre of each of
+   their buckets, drawn anew in every bucket, and with the member of it that has most
+   links so far (the text that joins a group resembles the centres of all its buckets).
 4. Edges are confirmed on the full sets.  A centre with many partners is dealt out
    over several tasks (salted by the number of its partners).
 5. Least labels travel along confirmed links, with pointer jumping, until nothing
    changes; each round is a written table.
+6. What the buckets missed is found by an exact prefix-filtered join: sets that are
+   similar enough share one of their first ``n - need + 1`` shingles in any common
+   order.  Shingles that are frequent in a sample come last in it.  Only texts of
+   different components are tried, if lengths, places and the number of first shingles
+   they share still allow enough in common; the links found join components as before.
 
-A pair at similarity 0.75 shares no narrow band with a chance of 5e-6, at 0.8 of
-5e-8.  Of those that share one, it is lost only if all their stars have a centre that
-does not resemble one of them: see README for the recall against brute force.
+So links are exact up to collisions of 64-bit shingle hashes: buckets only save work.
 
 Defined cases: null and empty texts get no shingles, their own doc_id and are
 kept; a null doc_id counts as the smallest (component null); rows that share a
@@ -34,6 +37,8 @@ and each keeps its own row; extra columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -49,6 +54,10 @@ NARROW, WIDE = 4, 8
 LEAST_PERCENT = 75
 #: Partners of one centre that one task confirms.
 PARTNERS_PER_TASK = 256
+#: One text in so many is looked at to find frequent shingles, and one sampled text in so many makes one frequent.
+SAMPLE, RARE = 16, 4000
+#: Pairs that a task holds before it drops repeated ones.
+_PAIRS = 1 << 20
 _NO_ID = -(1 << 63)
 _U64 = np.uint64
 _ATTEMPTS = 512
@@ -116,20 +125,126 @@ def bands(least: np.ndarray) -> np.ndarray:
     return np.concatenate(out, axis=1)
 
 
-def _signed_rows(batches):
+def prefix(s: np.ndarray, often: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The first shingles of a set, one of which every set that is similar enough has among its first."""
+    keep = len(s) - (LEAST_PERCENT * len(s) + 99) // 100 + 1 if len(s) else 0
+    if not len(often):
+        return s[:keep]
+    at = np.minimum(np.searchsorted(often, s), len(often) - 1)
+    return s[np.argsort(np.where(often[at] == s, counts[at], 0), kind="stable")[:keep]]
+
+
+def _signer(frequent_ones):
+    def signed_rows(batches):
+        often, counts = frequent_ones.value
+        for batch in batches:
+            data, offsets = wb.utf8(batch.column(1))
+            for lo, hi in wb.groups(offsets):
+                a, b = offsets[lo], offsets[hi]
+                sets = shingle_sets(data[a:b], offsets[lo : hi + 1] - a)
+                keys = wb.signed(bands(signatures(sets)))
+                n = np.array([len(s) for s in sets], dtype=np.int64)
+                one = np.array([np.sum(wb.mix(s + _U64(1)), dtype=np.uint64) for s in sets], dtype=np.uint64)
+                two = np.array([np.sum(wb.mix(s ^ _U64(0x5DEECE66D)), dtype=np.uint64) for s in sets], dtype=np.uint64)
+                firsts = [prefix(s, often, counts) for s in sets]
+                ends = np.concatenate([[0], np.cumsum([len(f) for f in firsts])]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(lo, hi - lo),
+                        pa.array(n),
+                        pa.array(wb.signed(one)),
+                        pa.array(wb.signed(two)),
+                        pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * keys.shape[1]), pa.array(keys.ravel())),
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(wb.signed(np.concatenate(firsts)))),
+                    ],
+                    names=["rid", "n_shingles", "fp1", "fp2", "bands", "firsts"],
+                )
+
+    return signed_rows
+
+
+def _shingles(batches):
     for batch in batches:
         data, offsets = wb.utf8(batch.column(1))
         for lo, hi in wb.groups(offsets):
             a, b = offsets[lo], offsets[hi]
             sets = shingle_sets(data[a:b], offsets[lo : hi + 1] - a)
-            keys = wb.signed(bands(signatures(sets)))
-            n = np.array([len(s) for s in sets], dtype=np.int64)
-            one = np.array([np.sum(wb.mix(s + _U64(1)), dtype=np.uint64) for s in sets], dtype=np.uint64)
-            two = np.array([np.sum(wb.mix(s ^ _U64(0x5DEECE66D)), dtype=np.uint64) for s in sets], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(lo, hi - lo), pa.array(n), pa.array(wb.signed(one)), pa.array(wb.signed(two)), pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * keys.shape[1]), pa.array(keys.ravel()))],
-                names=["rid", "n_shingles", "fp1", "fp2", "bands"],
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(wb.signed(np.concatenate(sets)))], names=["shingle"])
+
+
+def frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that many texts of a sample hold, in order, and how many; ``docs`` has (rid, text).
+
+    They only set the order of the prefixes, which may be any; their number is bounded
+    by ``RARE`` times the shingles of a text.
+    """
+    sample = docs.where(F.pmod(F.xxhash64("rid"), F.lit(SAMPLE)) == 0)
+    least = max(3, sample.select("rid").count() // RARE)
+    got = sample.mapInArrow(_shingles, "shingle long").groupBy("shingle").agg(F.count("*").alias("n")).where(F.col("n") >= least).toArrow()
+    often = got["shingle"].to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(often)
+    return often[order], got["n"].to_numpy().astype(np.int64)[order]
+
+
+def _pairs_of(token, rid, component, place) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(a, b, least, n) of rids of different components that share n tokens, from rows in order of (token, n_shingles).
+
+    Of the sets of x and y, whose prefixes leave out rest(x) and rest(y) shingles, those in
+    common are either among both prefixes or at most as many as one prefix leaves out; so
+    ``least`` of them must be among both.
+    """
+    size, at = place >> 32, place & 0xFFFFFFFF
+    i, d, out, held = np.arange(len(token)), 0, [], 0
+    while len(i):
+        d += 1
+        i = i[i + d < len(token)]
+        j = i + d
+        # Sizes grow within a token: beyond the first that is too large all are.
+        i = i[(token[i] == token[j]) & (100 * size[i] >= LEAST_PERCENT * size[j])]
+        j = i + d
+        common = np.minimum(at[i], at[j]) + np.minimum(size[i] - at[i], size[j] - at[j])
+        need = (LEAST_PERCENT * (size[i] + size[j]) + 99 + LEAST_PERCENT) // (100 + LEAST_PERCENT)
+        ok = (component[i] != component[j]) & (common >= need)
+        a, b = rid[i[ok]], rid[j[ok]]
+        rest = (LEAST_PERCENT * np.maximum(size[i], size[j])[ok] + 99) // 100 - 1
+        out.append(np.stack([np.minimum(a, b), np.maximum(a, b), need[ok] - rest], axis=1))
+        held += len(a)
+        if held > _PAIRS:
+            yield np.unique(np.concatenate(out), axis=0, return_counts=True)
+            out, held = [], 0
+    if held:
+        yield np.unique(np.concatenate(out), axis=0, return_counts=True)
+
+
+def _meetings(batches):
+    """(a, b, least, n) that meet, from (token, rid, component, place) in order of token and place."""
+
+    def emit(columns):
+        token, component = columns[0], columns[2]
+        if not len(token):
+            return
+        start = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+        mixed = np.minimum.reduceat(component, start) < np.maximum.reduceat(component, start)
+        rows = np.repeat(mixed, np.diff(np.concatenate([start, [len(token)]])))
+        for pairs, n in _pairs_of(*(c[rows] for c in columns)):
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(pairs[:, 2]), pa.array(n)], names=["a", "b", "least", "n"])
+
+    waiting: list[list[np.ndarray]] = []
+    rows = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        now = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        # The last token may go on in the next batch.
+        cut = int(np.searchsorted(now[0], now[0][-1]))
+        if waiting and waiting[-1][0][-1] != now[0][-1]:
+            if rows + cut > 1 << 18:
+                yield from emit([np.concatenate(c) for c in zip(*waiting, [c[:cut] for c in now], strict=True)])
+                waiting, rows, now = [], 0, [c[cut:] for c in now]
+        waiting.append(now)
+        rows += len(now[0])
+    if waiting:
+        yield from emit([np.concatenate(c) for c in zip(*waiting, strict=True)])
 
 
 def _sets(batches):
@@ -188,16 +303,24 @@ def second_stars(failed: DataFrame) -> DataFrame:
     return failed.where("near not in (rid, a)").select(F.col("near").alias("a"), F.col("rid").alias("b")).distinct()
 
 
-def deeper(signed: DataFrame, memberships: DataFrame) -> DataFrame:
-    """(rid, bucket) of members that failed at their centre, dealt by a second band as well.
+def linked_stars(heads: DataFrame, failed: DataFrame, links: DataFrame) -> DataFrame:
+    """(a, b): members that failed at their centre with the member of the same bucket that has most links.
 
-    Such members met an unrelated centre in a crowded bucket.  Texts that resemble each
-    other share about ten narrow bands, so they meet again in many pairs of bands.
+    The text that joins a group resembles the centres of all its buckets, so it has many.
     """
-    failed = memberships.select("rid", "bucket").distinct()
-    others = signed.select("rid", F.slice("bands", 1, SLOTS // NARROW).alias("others"))
-    pairs = failed.join(others, "rid").select("rid", "bucket", F.explode("others").alias("other")).where("bucket <> other")
-    return pairs.select("rid", F.xxhash64(F.least("bucket", "other"), F.greatest("bucket", "other")).alias("bucket")).distinct()
+    ends = links.select(F.explode(F.array("a", "b")).alias("rid")).groupBy("rid").agg(F.count("*").alias("n")).where("n > 1")
+    joined = heads.select("rid", "bands").join(ends, "rid").select("rid", "n", F.explode("bands").alias("bucket"))
+    centre = joined.join(failed.select("bucket").distinct(), "bucket", "left_semi").groupBy("bucket").agg(F.max(F.struct("n", "rid")).alias("top"))
+    return failed.join(centre, "bucket").select(F.col("top.rid").alias("a"), F.col("rid").alias("b")).where("a <> b").distinct()
+
+
+def unmet(heads: DataFrame, labels: DataFrame) -> DataFrame:
+    """(a, b): texts of different components whose prefixes meet; ``labels`` has (rid, component)."""
+    rows = heads.select("rid", "n_shingles", "firsts").join(labels, "rid", "left")
+    token = rows.select("rid", F.coalesce("component", "rid").alias("component"), "n_shingles", F.posexplode("firsts").alias("at", "token"))
+    dealt = token.select("token", "rid", "component", (F.shiftleft("n_shingles", 32) + F.col("at")).alias("place")).repartition("token")
+    met = dealt.sortWithinPartitions("token", "place").mapInArrow(_meetings, "a long, b long, least long, n long")
+    return met.groupBy("a", "b").agg(F.sum("n").alias("n"), F.min("least").alias("least")).where("n >= least").select("a", "b")
 
 
 def shingle_table(spark: SparkSession, docs: DataFrame, edges: DataFrame) -> DataFrame:
@@ -257,7 +380,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
     keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("rid"), "text")
-    signed = scratch.table(spark, keyed.mapInArrow(_signed_rows, "rid long, n_shingles long, fp1 long, fp2 long, bands array<long>"), "signatures")
+    shared = spark.sparkContext.broadcast(frequent(keyed))
+    signed = scratch.table(spark, keyed.mapInArrow(_signer(shared), "rid long, n_shingles long, fp1 long, fp2 long, bands array<long>, firsts array<long>"), "signatures")
     prints = ["n_shingles", "fp1", "fp2"]
     with_set = signed.where("n_shingles > 0")
     classes = scratch.table(spark, with_set.groupBy(*prints).agg(F.min("rid").alias("head"), F.max("rid").alias("tail")), "classes")
@@ -269,12 +393,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sets = shingle_table(spark, keyed, tried)
     found = scratch.table(spark, confirm(sets, tried).distinct(), "links")
     failed = scratch.table(spark, unlike(met, found), "failed")
-    again = _edges(stars(deeper(heads, failed))).unionAll(second_stars(failed)).distinct().join(tried, ["a", "b"], "left_anti")
+    again = second_stars(failed).unionAll(linked_stars(heads, failed, found)).distinct().join(tried, ["a", "b"], "left_anti")
     more = confirm(sets, scratch.table(spark, again, "edges")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     # A doc_id on several rows may have several sets; its heads are then one node.
     several = signed.groupBy("rid").agg(F.count("*").alias("n")).where("n > 1").select(F.col("rid").alias("b"))
     links = found.unionAll(more).unionAll(copies.join(several, "b", "left_semi").select("a", "b")).distinct()
-    near = components(spark, scratch.table(spark, links, "confirmed"))
+    links = scratch.table(spark, links, "confirmed")
+    near = components(spark, links)
+    rest = scratch.table(spark, unmet(heads, near), "rest")
+    new = scratch.table(spark, rest.select(F.explode(F.array("a", "b")).alias("rid")).distinct().join(sets.select("rid"), "rid", "left_anti"), "wanted")
+    # A few texts of many: the size of the table decides how it is joined.
+    more_sets = scratch.table(spark, keyed.join(new, "rid").select("rid", "text").mapInArrow(_sets, "rid long, hashes binary"), "shingles")
+    late = scratch.table(spark, confirm(sets.unionAll(more_sets), rest).distinct(), "links")
+    if late.limit(1).count():
+        near = components(spark, links.unionAll(late))
     return _labelled(signed, copies, near)
 
 

@@ -83,3 +83,43 @@ def test_second_centres(spark):
     links = spark.createDataFrame([(0, 2), (0, 5)], "a long, b long")
     got = {tuple(r) for r in minhash.second_stars(minhash.unlike(met, links)).collect()}
     assert got == {(c, x) for c in near.values() for x in range(1, 40) if c not in (0, x) and x not in (2, 5)}
+
+
+def test_hub_in_the_middle(spark):
+    """Copies that resemble only their original join it, wherever its doc_id stands."""
+    r = random.Random(11)
+    word = lambda: f"w{r.randrange(10**7)}"
+    for place in ("middle", "last"):
+        groups = []
+        for _ in range(3):
+            hub = [word() for _ in range(400)]
+            copies = []
+            for _ in range(60):
+                other = hub[:]
+                start = r.randrange(400)
+                for k in range(48):
+                    other[(start + k) % 400] = word()
+                copies.append(" ".join(other))
+            copies.insert(30 if place == "middle" else 60, " ".join(hub))
+            groups.append(copies)
+        texts = [t for g in zip(*groups, strict=True) for t in g]
+        df = make(spark, texts)
+        want = brute([(x.doc_id, x.text) for x in df.collect()])
+        assert sum(x[3] for x in want) == 3
+        assert sorted(map(tuple, minhash.near_duplicates(df).collect()), key=str) == want
+
+
+def test_prefix_join_alone_is_exact(spark, monkeypatch):
+    """Without any bucket the prefix-filtered join finds every link."""
+    monkeypatch.setattr(minhash, "stars", lambda rows: rows.where("false").selectExpr("bucket", "rid as a", "rid as near", "rid"))
+    r = random.Random(5)
+    base = [[f"w{r.randrange(10**5)}" for _ in range(n)] for n in (6, 9, 30, 80, 80)]
+    texts = []
+    for b in base:
+        for k in range(40):
+            other = b[:]
+            for _ in range(k % 4):
+                other[r.randrange(len(b))] = f"w{r.randrange(10**5)}"
+            texts.append(" ".join(other + b[: k % 9]))
+    df = make(spark, texts)
+    assert sorted(map(tuple, minhash.near_duplicates(df).collect()), key=str) == brute([(x.doc_id, x.text) for x in df.collect()])
