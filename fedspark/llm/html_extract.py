@@ -67,7 +67,7 @@ class Block:
 
 def _slots(name: str, attributes: str) -> tuple[int, ...]:
     """Hashed slots of one element."""
-    key = (name, attributes if len(attributes) < 200 else attributes[:200])
+    key = (name, attributes)
     got = _marks.get(key)
     if got is None:
         words = {"<" + name}
@@ -75,9 +75,10 @@ def _slots(name: str, attributes: str) -> tuple[int, ...]:
             for w in _PARTS.findall(next(filter(None, m.groups()), "").lower()):
                 words.add(w)
         got = tuple(sorted({crc32(w.encode()) % PATH_SLOTS for w in words}))
-        if len(_marks) > 50_000:
-            _marks.clear()
-        _marks[key] = got
+        if len(attributes) < 200:  # long ones seldom come again
+            if len(_marks) > 50_000:
+                _marks.clear()
+            _marks[key] = got
     return got
 
 

@@ -70,3 +70,12 @@ def test_odd_cases(spark):
     assert [got[k].text for k in (1, 2, None)] == [""] * 3 and got[1].n_chars == 0
     assert got[4].text.count("\n") == 2999
     assert he.main_text(spark.createDataFrame([], PAGES)).count() == 0
+
+
+def test_long_attributes_are_told_apart():
+    """Tags that begin alike for 200 characters and differ in class have features of their own."""
+    page = '<div style="%s" class="%s"><p>words</p></div>'
+    style = "color:red;" * 30
+    read = lambda c: he.blocks_of(page % (style, c))[0].path
+    assert read("sidebar") == he.blocks_of(page % ("", "sidebar"))[0].path
+    assert read("article") == he.blocks_of(page % ("", "article"))[0].path != read("sidebar")
