@@ -390,6 +390,11 @@ class Jira(Api):
     page_size = 100
     FLAT = {"project": "project/search", "projects": "project/search", "user": "users/search", "users": "users/search", "status": "status", "priority": "priority", "issuetype": "issuetype", "field": "field"}
 
+    def __init__(self, options):
+        super().__init__(options)
+        if self.table not in self.FLAT:
+            self.size = min(self.size, 100)  # a site gives no more issues at once
+
     def _body(self, predicates, columns, offset, size):
         said = " AND ".join(t for t in map(filters.jql, predicates) if t)
         order = self.o.get("order_by") or "key"
@@ -401,7 +406,7 @@ class Jira(Api):
     def request(self, predicates, columns, offset, size):
         if self.table in self.FLAT:
             return {"path": f"rest/api/3/{self.FLAT[self.table]}", "query": {"startAt": offset, "maxResults": size}}
-        return {"method": "POST", "path": "rest/api/3/search", "body": self._body(predicates, columns, offset, min(size, 100))}
+        return {"method": "POST", "path": "rest/api/3/search", "body": self._body(predicates, columns, offset, size)}
 
     def rows(self, answer):
         if self.table in self.FLAT:
@@ -414,7 +419,10 @@ class Jira(Api):
         return int(self.send({"method": "POST", "path": "rest/api/3/search", "body": self._body(predicates, ["key"], 0, 1)})["total"])
 
     def following(self, answer, asked, got):
-        if self.table in self.FLAT and isinstance(answer, dict) and not answer.get("isLast", True) and got:
+        if self.table not in self.FLAT:  # a site may give fewer than asked
+            b = asked["body"]
+            return {**asked, "body": {**b, "startAt": b["startAt"] + got, "maxResults": b["maxResults"] - got}} if got else None
+        if isinstance(answer, dict) and not answer.get("isLast", True) and got:
             q = asked["query"]
             return {**asked, "query": {**q, "startAt": int(q["startAt"]) + got}}
         return None

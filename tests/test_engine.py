@@ -314,3 +314,22 @@ def test_insert_by_query_and_subqueries(engine, server):
     assert len([1 for m, p, *_ in server.asked() if m == "POST"]) == 2
     assert rows(engine.sql("WITH a AS (SELECT id FROM web.users WHERE role = 'admin') SELECT i.id FROM files.items i WHERE i.id IN (SELECT id FROM a)")) == [(3,)]
     assert rows(engine.sql("SELECT (SELECT max(id) FROM web.users) AS m")) == [(25,)]
+
+
+def test_jira_reads_all_rows_of_large_and_short_pages():
+    """Neither a page size over the site's cap nor answers shorter than asked lose issues."""
+    from fedspark.sources.api import Jira
+
+    class Site(Jira):
+        most = 100
+
+        def send(self, r):
+            at, n = r["body"]["startAt"], min(r["body"]["maxResults"], self.most)
+            return {"total": 730, "issues": [{"id": i, "key": f"K-{i}", "fields": {}} for i in range(at, min(730, at + n))]}
+
+    for size, most in (("500", 100), ("100", 30), ("70", 30)):
+        site = Site({"base": "http://none", "table": "issues", "page_size": size})
+        site.most = most
+        assert [r["id"] for p in site.pages([], []) for r in site.read(p)] == list(range(730))
+    few = Site({"base": "http://none", "table": "issues", "page_size": "500", "limit": "250"})
+    assert [r["id"] for p in few.pages([], []) for r in few.read(p)] == list(range(250))
