@@ -196,16 +196,12 @@ def udtf_split(spark, sf):
 
 
 def scan_xlsx(spark, sf):
-    """A workbook of the suppliers, read back through Spark's own file access."""
-    from ..sources.excel import read_excel, workbook
+    """Workbooks of all suppliers by ranges of keys, read back through Spark's own file access."""
+    from ..sources.excel import read_excel, write_excel
 
     supplier = _t(spark, sf, "supplier")
-    rows = [tuple(r) for r in supplier.orderBy("s_suppkey").limit(5000).toLocalIterator()]  # a sheet is a small thing
-    path = workdir.fresh(spark, "book") + ".xlsx"
-    fs, where = workdir.filesystem(spark, path)
-    out = fs.create(where, True)
-    out.write(bytearray(workbook(supplier.columns, rows)))
-    out.close()
+    path = workdir.fresh(spark, "books")
+    write_excel(supplier.repartitionByRange("s_suppkey").sortWithinPartitions("s_suppkey"), path)
     return read_excel(spark, path, schema=supplier.schema)
 
 

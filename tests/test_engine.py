@@ -333,3 +333,14 @@ def test_jira_reads_all_rows_of_large_and_short_pages():
         assert [r["id"] for p in site.pages([], []) for r in site.read(p)] == list(range(730))
     few = Site({"base": "http://none", "table": "issues", "page_size": "500", "limit": "250"})
     assert [r["id"] for p in few.pages([], []) for r in few.read(p)] == list(range(250))
+
+
+def test_scan_xlsx_keeps_every_row(spark, tmp_path):
+    from fedspark.plans import federated
+
+    spark.range(6001).selectExpr("cast(id as int) AS s_suppkey", "concat('S<', id) AS s_name", "id / 4 AS s_acctbal").write.parquet(str(tmp_path / "supplier.parquet"))
+    want = [(i, f"S<{i}", i / 4) for i in range(6001)]
+    assert rows(federated.scan_xlsx(spark, str(tmp_path))) == want
+    (tmp_path / "none").mkdir()
+    spark.range(0).selectExpr("cast(id as int) AS s_suppkey").write.parquet(str(tmp_path / "none" / "supplier.parquet"))
+    assert federated.scan_xlsx(spark, str(tmp_path / "none")).count() == 0
