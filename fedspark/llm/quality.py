@@ -114,8 +114,12 @@ def _features(stats: DataFrame) -> DataFrame:
     return out.withColumns({f"x{i}": F.expr(f"cast(round({e}) as bigint)") for i, (_, e) in enumerate(FEATURES.values())})
 
 
-def _groups(stats: DataFrame) -> DataFrame:
-    """(lang, source) to grp: the pair itself, its language, all, or null for no estimate."""
+def _groups(stats: DataFrame) -> tuple[DataFrame, bool]:
+    """(lang, source) to grp: the pair itself, its language, all that is left, or null for no estimate.
+
+    Besides, whether what is left is too little, so that its estimate is that of all sound
+    rows; there is no estimate only if those are too few as well.
+    """
     sizes = stats.where("not base_failed").groupBy("lang", "source").agg(F.count("*").alias("n"))
     pairs = stats.groupBy("lang", "source").agg(F.lit(1).alias("one")).drop("one")
     n = pairs.alias("p").join(sizes.alias("s"), F.expr("p.lang <=> s.lang and p.source <=> s.source"), "left").select("p.lang", "p.source", F.coalesce("n", F.lit(0)).alias("n"))
@@ -123,14 +127,17 @@ def _groups(stats: DataFrame) -> DataFrame:
     by_lang = small.groupBy("lang").agg(F.sum("n").alias("n_lang"))
     left = n.alias("p").join(by_lang.alias("b"), F.expr("p.lang <=> b.lang"), "left").select("p.lang", "p.source", "n", "n_lang")
     n_rest = by_lang.where(F.col("n_lang") < LEAST_GROUP).agg(F.sum("n_lang").alias("n")).first()["n"] or 0
-    return left.select(
+    whole = 0 < n_rest < LEAST_GROUP and (sizes.agg(F.sum("n").alias("n")).first()["n"] or 0) >= LEAST_GROUP
+    pooled = whole or n_rest >= LEAST_GROUP
+    groups = left.select(
         "lang",
         "source",
         F.expr(
             f"case when n >= {LEAST_GROUP} then to_json(array(lang, source))"
-            f" when n_lang >= {LEAST_GROUP} then to_json(array(lang)) when {n_rest} >= {LEAST_GROUP} then '*' end"
+            f" when n_lang >= {LEAST_GROUP} then to_json(array(lang)) when {str(pooled).lower()} then '*' end"
         ).alias("grp"),
     )
+    return groups, whole
 
 
 def _sums(rows: DataFrame, *keys: str) -> DataFrame:
@@ -187,17 +194,23 @@ def keep(docs: DataFrame) -> DataFrame:
 def _judged(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     rows = scratch.table(spark, _features(statistics(docs)), "quality")
-    groups = scratch.table(spark, _groups(rows), "groups")
+    groups, whole = _groups(rows)
+    groups = scratch.table(spark, groups, "groups")
+    # What an estimate is drawn from: a group's own rows, for what is left maybe all.
+    drawn = groups.where("grp is not null")
+    if whole:
+        drawn = drawn.unionAll(drawn.where("grp <> '*'").withColumn("grp", F.lit("*")))
+        drawn = scratch.table(spark, drawn.distinct(), "drawn")
     few = groups.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
     small = F.broadcast if few else (lambda df: df)
     same = F.expr("r.lang <=> g.lang and r.source <=> g.source")
 
-    def measured(estimate: DataFrame, of: DataFrame, how: str) -> DataFrame:
-        by_pair = groups.join(small(estimate), "grp")
+    def measured(estimate: DataFrame, of: DataFrame, how: str, pairs: DataFrame) -> DataFrame:
+        by_pair = pairs.join(small(estimate), "grp")
         return of.alias("r").join(small(by_pair).alias("g"), same, how).drop(F.col("g.lang"), F.col("g.source")).withColumn("d2", _distance())
 
     sound = rows.where("not base_failed")
-    grouped = sound.alias("r").join(small(groups.where("grp is not null")).alias("g"), same).select("grp", *[f"x{i}" for i in range(_P)])
+    grouped = sound.alias("r").join(small(drawn).alias("g"), same).select("grp", *[f"x{i}" for i in range(_P)])
     middle = grouped.groupBy("grp").agg(*[F.percentile(f"x{i}", F.lit(0.5)).alias(f"m{i}") for i in range(_P)])
     around = grouped.join(small(middle), "grp").groupBy("grp").agg(
         *[F.first(f"m{i}").alias(f"m{i}") for i in range(_P)],
@@ -208,7 +221,7 @@ def _judged(docs: DataFrame) -> DataFrame:
     estimate = scratch.table(spark, _factor(around, diagonal), "estimate")
     for step in range(STEPS):
         bins = F.least(F.lit(BINS - 1), F.floor(F.lit(20.0) * F.log1p("d2")).cast("int")).alias("bin")
-        near = measured(estimate, sound, "inner").select("grp", bins, *[f"x{i}" for i in range(_P)])
+        near = measured(estimate, sound, "inner", drawn).select("grp", bins, *[f"x{i}" for i in range(_P)])
         summed = _sums(near, "grp", "bin")
         # At most BINS rows a group from here on.
         upto = summed.withColumn("before", F.coalesce(F.sum("n").over(Window.partitionBy("grp").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
@@ -220,7 +233,7 @@ def _judged(docs: DataFrame) -> DataFrame:
         # The median distance should be that of chi-square; the scatter only ever widens.
         moments = moments.withColumn("scale", F.greatest(F.lit(1.0), (F.exp((F.col("mid") + 1) / 20.0) - 1) / _MEDIAN_D2) if step else F.lit(1.5))
         estimate = scratch.table(spark, _whitened(moments), "estimate")
-    out = measured(estimate, rows, "left")
+    out = measured(estimate, rows, "left", groups)
     return out.select(
         "doc_id", "lang", "source", "fp", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & (F.coalesce("d2", F.lit(0.0)) <= CUTOFF)).alias("kept"),

@@ -62,3 +62,19 @@ def test_empty_table(spark):
 def test_plan_has_no_python(spark, sf):
     plan = quality.judge(spark.read.parquet(f"{sf}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_few_rows_of_a_rare_language_get_a_distance(spark):
+    """Rows left in groups too small for an estimate are held against all sound rows."""
+    import random
+
+    r = random.Random(2)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(r.randrange(2, 9)))
+    text = lambda: " ".join(word() for _ in range(r.randrange(80, 120))) + "."
+    rows = [(i, text(), "en", "web") for i in range(300)] + [(1000 + i, text(), "fr", "web") for i in range(9)]
+    rows.append((2000, " ".join(f"{word().upper()}###$$$%%%!!!{i}" for i in range(100)), "fr", "web"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumn("n_chars", F.length("text").cast("long"))
+    got = {x.doc_id: x for x in quality.judge(df).collect()}
+    assert len(got) == 310 and all(x.distance is not None for x in got.values())
+    assert not got[2000].base_failed and not got[2000].kept
+    assert sum(got[1000 + i].kept for i in range(9)) >= 7
