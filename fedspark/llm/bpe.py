@@ -3,13 +3,25 @@
 A rank file (token bytes, rank) is turned into the library's vocabulary and merges:
 every byte has one printable character (the usual byte table), and the merge that
 makes a token is found by applying all merges of a lower rank to its bytes.  The
-tokenizer is broadcast as text, so executors need no file.  Decoding looks the ids'
-bytes up; a character that two tokens share is put together again, because bytes
-are joined before they are read as UTF-8 (and held back at the end of a piece when
-decoding runs piece by piece).
-
-Defined cases: a null text counts as empty (no ids, the hash of nothing); a null
-doc_id passes through; rows are encoded one by one; extra columns are ignored.
+tokenizer is broadcast as text, so executors need no file.
+
+A text is cut into its pre-tokens (the matches of the pattern) once.  A pre-token is
+encoded by the library when a worker first meets it; its ids and the characters that
+each of them touches are then held in flat arrays, and texts gather from these.  What
+is held is bounded by bytes: beyond ``HELD_BYTES`` the worker starts afresh.  Where
+the pattern's character classes may be read differently by the library and by the
+splitter (code points of newer Unicode versions; each is tried once), the library
+encodes the whole text.
+
+Decoding looks the ids' bytes up; a character that two tokens share is put together
+again, because bytes are joined before they are read as UTF-8 (and held back at the
+end of a piece when decoding runs piece by piece).
+
+Defined cases: a null text counts as empty (no ids, the hash of nothing); an empty
+table gives an empty result; a null doc_id passes through; rows are encoded one by
+one, so repeated rows give equal results; texts of any length are encoded whole, with
+memory that follows the longest text of a batch; extra columns are ignored, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -17,11 +29,14 @@ from __future__ import annotations
 import base64
 import codecs
 import hashlib
+import json
 import os
 from collections.abc import Iterable, Iterator
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +44,8 @@ from . import wordbytes as wb
 
 #: Bytes of text handed to the library at once.
 BATCH_BYTES = 1 << 20
+#: Bytes of pre-tokens, ids and offsets that a worker holds.
+HELD_BYTES = 64 << 20
 _built: dict[str, object] = {}
 
 
@@ -72,20 +89,37 @@ def build(ranks: dict[bytes, int], pattern: str) -> str:
     return made.to_str()
 
 
+def _put(held: np.ndarray, at: int, new: np.ndarray) -> np.ndarray:
+    """``new`` written at ``at``, in a larger array if need be."""
+    if len(held) < at + len(new):
+        held = np.concatenate([held, np.zeros(at + len(new), held.dtype)])
+    held[at : at + len(new)] = new
+    return held
+
+
 class Codec:
     """Encoder and decoder of one vocabulary; built once a worker."""
 
     def __init__(self, text: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(text)
         self.tokenizer.encode_special_tokens = True
+        #: For what is cut already.
+        self.words = Tokenizer.from_str(text)
+        self.words.encode_special_tokens = True
+        self.words.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         back = {c: b for b, c in enumerate(byte_characters())}
         vocabulary = self.tokenizer.get_vocab()
         self.bytes_of: list[bytes] = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             self.bytes_of[i] = bytes(back[c] for c in token)
+        pattern = json.loads(text)["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        self.split = regex.compile(pattern).findall
+        self.known: set[str] = set(map(chr, range(128)))
+        self.odd: set[str] = set()
+        self._forget()
 
     @staticmethod
     def of(text: str) -> Codec:
@@ -95,12 +129,82 @@ class Codec:
             _built[key] = Codec(text)
         return _built[key]
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.held = self.used = 0
+        #: Of all pre-tokens met: number of ids, first id's place, length; ids, starts and ends.
+        self.sizes, self.flat = [np.zeros(0, np.int64)] * 3, [np.zeros(0, np.int32)] * 3
+
+    def _try_characters(self, texts: list[str]) -> None:
+        """Which characters of ``texts`` are of another class to the library than to the splitter."""
+        from tokenizers import Regex, pre_tokenizers
+
+        for c in set().union(*map(set, texts)) - self.known:
+            self.known.add(c)
+            for kind in (r"\p{L}", r"\p{N}", r"\s"):
+                if bool(regex.match(kind, c)) == bool(pre_tokenizers.Split(Regex(kind), "removed").pre_tokenize_str(c)):
+                    self.odd.add(c)
+
+    def _library(self, texts: list[str]):
+        """Sizes and flat arrays, as of ``_forget``, of texts that the library encodes."""
+        made = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        n = np.array([len(e) for e in made], dtype=np.int64)
+        ids = np.fromiter((i for e in made for i in e.ids), np.int32, int(n.sum()))
+        spans = np.fromiter((x for e in made for o in e.offsets for x in o), np.int32, 2 * int(n.sum())).reshape(-1, 2)
+        return [n, np.cumsum(n) - n, np.array([len(t) for t in texts], dtype=np.int64)], [ids, spans[:, 0], spans[:, 1]]
+
+    def _add(self, words: list[str]) -> None:
+        """Hold the library's ids and offsets of each of ``words``, which it gets as they are cut."""
+        for lo in range(0, len(words), 1 << 12):
+            part = words[lo : lo + (1 << 12)]
+            made = self.words.encode(part, is_pretokenized=True, add_special_tokens=False)
+            owner = np.array(made.word_ids, dtype=np.int64)
+            n = np.bincount(owner, minlength=len(part))
+            spans = np.array(made.offsets, dtype=np.int32).reshape(-1, 2)
+            sizes = [n, np.cumsum(n) - n + self.used, np.fromiter(map(len, part), np.int64, len(part))]
+            self.sizes = [_put(x, len(self.place) - len(words) + lo, y) for x, y in zip(self.sizes, sizes, strict=True)]
+            self.flat = [_put(x, self.used, y) for x, y in zip(self.flat, (np.array(made.ids, dtype=np.int32), spans[:, 0], spans[:, 1]), strict=True)]
+            self.used += len(owner)
+
+    def _gather(self, texts: list[list[str]]):
+        """Sizes of the texts and their flat arrays, from their pre-tokens."""
+        if self.held > HELD_BYTES:
+            self._forget()
+        words = list(chain.from_iterable(texts))
+        fresh = list(set(words).difference(self.place))
+        self.place.update(zip(fresh, count(len(self.place))))
+        self.held += sum(4 * len(w) + 200 for w in fresh)
+        self._add(fresh)
+        index = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        first = np.cumsum([0, *map(len, texts)])
+        n, at, length = (x[index] for x in self.sizes)
+        inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - at, n)
+        before = np.cumsum(length) - length
+        ends = np.concatenate([before, [length.sum()]])[first]
+        shift = np.repeat(before - np.repeat(ends[:-1], np.diff(first)), n).astype(np.int32)
+        ids, starts, stops = (x[inner] for x in self.flat)
+        tokens = np.concatenate([[0], np.cumsum(n)])[first]
+        return np.diff(tokens), ids, starts + shift, stops + shift
 
-    def encode_with_offsets(self, texts: list[str]) -> list[tuple[list[int], list[tuple[int, int]]]]:
-        """Ids with the characters each one touches; tokens that share a character name it both."""
-        return [(e.ids, e.offsets) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        n, ids, _, _ = self.encode_flat(texts)
+        return [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])]
+
+    def encode_flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Number of ids of each text; all ids, and the first and last character (exclusive) that
+        each of them touches.  Tokens that share a character name it both."""
+        self._try_characters(texts)
+        odd = [bool(self.odd) and not self.odd.isdisjoint(t) for t in texts]
+        if not any(odd):
+            return self._gather([self.split(t) for t in texts])
+        parts = []
+        for t, whole in zip(texts, odd, strict=True):
+            if whole:
+                (n, _, _), flat = self._library([t])
+                parts.append((n, *flat))
+            else:
+                parts.append(self._gather([self.split(t)]))
+        return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
     def decode_bytes(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -118,11 +222,19 @@ class Codec:
             yield rest
 
 
-def _runs(batch, column: int) -> Iterator[tuple[int, int, list[str]]]:
-    data, offsets = wb.utf8(batch.column(column))
-    texts = batch.column(column)
-    for lo, hi in wb.groups(offsets, BATCH_BYTES):
-        yield lo, hi, [t if t is not None else "" for t in texts.slice(lo, hi - lo).to_pylist()]
+def _encoded(batches, tokenizer: str) -> Iterator[tuple]:
+    """(doc_ids, number of ids of each row, ids, starts, ends) of about BATCH_BYTES of text at a time."""
+    codec = Codec.of(tokenizer)
+    for batch in batches:
+        _, offsets = wb.utf8(batch.column(1))
+        for lo, hi in wb.groups(offsets, BATCH_BYTES):
+            texts = [t if t is not None else "" for t in batch.column(1).slice(lo, hi - lo).to_pylist()]
+            yield batch.column(0).slice(lo, hi - lo), *codec.encode_flat(texts)
+
+
+def _lists(n: np.ndarray, *flat: np.ndarray) -> list[pa.Array]:
+    edges = pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
+    return [pa.ListArray.from_arrays(edges, pa.array(x.astype(np.int32))) for x in flat]
 
 
 def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
@@ -130,13 +242,8 @@ def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer)
 
     def run(batches):
-        codec = Codec.of(shared.value)
-        for batch in batches:
-            for lo, hi, texts in _runs(batch, 1):
-                out = codec.encode_with_offsets(texts)
-                arrays = [pa.array([ids for ids, _ in out], pa.list_(pa.int32()))]
-                arrays += [pa.array([[o[k] for o in offsets] for _, offsets in out], pa.list_(pa.int32())) for k in (0, 1)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), *arrays], names=["doc_id", "ids", "starts", "ends"])
+        for doc_id, n, *flat in _encoded(batches, shared.value):
+            yield pa.RecordBatch.from_arrays([doc_id, *_lists(n, *flat)], names=["doc_id", "ids", "starts", "ends"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids array<int>, starts array<int>, ends array<int>")
 
@@ -155,18 +262,23 @@ def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256: every text encoded, and its ids decoded again."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256, n_split of every row: texts are encoded with
+    offsets, and their ids decoded again.  ``n_split`` counts tokens that begin inside a character."""
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer)
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_split"]
 
     def run(batches):
         codec = Codec.of(shared.value)
-        for batch in batches:
-            for lo, hi, texts in _runs(batch, 1):
-                n, sums, back = [], [], []
-                for ids in codec.encode(texts):
-                    n.append(len(ids))
-                    sums.append(hashlib.sha256(np.array(ids, dtype="<u4").tobytes()).hexdigest())
-                    back.append(hashlib.sha256(codec.decode_bytes(ids)).hexdigest())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(n, pa.int64()), pa.array(sums, pa.string()), pa.array(back, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        for doc_id, n, ids, starts, ends in _encoded(batches, shared.value):
+            edges = np.concatenate([[0], np.cumsum(n)])
+            inside = np.zeros(len(ids) + 1, dtype=np.int64)
+            inside[2:] = starts[1:] < ends[:-1]  # a character that the token before touches too
+            inside[edges[:-1][n > 0] + 1] = 0
+            split = np.cumsum(inside)
+            raw, edge = ids.astype("<u4"), edges.tolist()
+            sums = [hashlib.sha256(raw[a:b]).hexdigest() for a, b in zip(edge[:-1], edge[1:], strict=True)]
+            listed = ids.tolist()
+            back = [hashlib.sha256(codec.decode_bytes(listed[a:b])).hexdigest() for a, b in zip(edge[:-1], edge[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([doc_id, pa.array(n, pa.int64()), pa.array(sums, pa.string()), pa.array(back, pa.string()), pa.array(split[edges[1:]] - split[edges[:-1]])], names=names)
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, n_split long")

@@ -103,7 +103,10 @@ def test_bpe(spark, codec):
         expect = []
         for r in df.collect():
             ids = want.encode_ordinary(r.text or "")
-            expect.append((r.doc_id, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256((r.text or "").encode()).hexdigest()))
+            ends = np.cumsum([0, *(len(want.decode_single_token_bytes(i)) for i in ids)]).tolist()
+            raw = (r.text or "").encode()
+            inside = sum(raw[e] & 0xC0 == 0x80 for e in ends[:-1])
+            expect.append((r.doc_id, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(raw).hexdigest(), inside))
         assert rows(bpe.round_trip(df, text)) == sorted(expect, key=str)
     assert bpe.round_trip(make(spark, []), text).count() == 0
 
@@ -121,6 +124,23 @@ def test_bpe_offsets_and_decoding(spark, codec):
         assert all(0 <= a <= b <= len(r.text) for a, b in zip(r.starts, r.ends))
 
 
+def test_bpe_held_pre_tokens(spark, codec, monkeypatch):
+    """Starting afresh, code points of newer Unicode versions and single long words change nothing."""
+    text, want = codec
+    c = bpe.Codec(text)
+    r = np.random.default_rng(4)
+    letters = list("ab Z'sSt0٣½\n 　é日😀‍՘࢏౜\U00011de1")
+    fuzz = ["".join(r.choice(letters, r.integers(0, 40))) for _ in range(3000)] + ["x" * 300_000, "日" * 100_000, ""]
+    for limit in (bpe.HELD_BYTES, 1000):
+        monkeypatch.setattr(bpe, "HELD_BYTES", limit)
+        for lo in range(0, len(fuzz), 100):
+            part = fuzz[lo : lo + 100]
+            assert c.encode(part) == [want.encode_ordinary(t) for t in part]
+    n, _, starts, ends = c.encode_flat(fuzz)
+    made = c.tokenizer.encode_batch(fuzz, add_special_tokens=False)
+    assert list(zip(starts.tolist(), ends.tolist())) == [o for e in made for o in e.offsets]
+
+
 # sharding
 
 
