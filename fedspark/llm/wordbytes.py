@@ -18,13 +18,12 @@ GROUP = 2 << 20
 U64 = np.uint64
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
-#: A multiplier that is 3 modulo 8: differences of its powers keep few factors of two.
-_BASE = 0x9E3779B97F4A7C13
-_LETTER = _rng.integers(1 << 62, (1 << 64) - 1, 256, dtype=np.uint64, endpoint=True) | U64(1)
 _GRAM = _rng.integers(1 << 62, (1 << 64) - 1, 64, dtype=np.uint64, endpoint=True) | U64(1)
-_FOLDED = _LETTER.copy()
-_FOLDED[65:91] = _LETTER[97:123]
-_powers: list[np.ndarray] = []
+#: A-Z become a-z.
+FOLD = np.arange(256, dtype=np.uint8)
+FOLD[65:91] += 32
+#: The low n bytes of an integer, n from 0 to 8.
+_LOW = np.array([(1 << (8 * n)) - 1 for n in range(9)], dtype=np.uint64)
 
 
 def byte_class(test) -> np.ndarray:
@@ -47,18 +46,6 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U64(32))
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _powers or len(_powers[0]) <= n:
-        inverse = pow(_BASE, -1, 1 << 64)
-        out = []
-        for base in (_BASE, inverse):
-            a = np.full(n + 1, base, dtype=np.uint64)
-            a[0] = 1
-            out.append(np.cumprod(a))
-        _powers[:] = out
-    return _powers[0], _powers[1]
-
-
 def utf8(column) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; a null counts as an empty text."""
     if isinstance(column, pa.ChunkedArray):
@@ -94,20 +81,38 @@ def spans(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> tuple[np.n
 
 
 def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = False) -> np.ndarray:
-    """64-bit hashes of the words; ``fold`` makes A-Z equal to a-z."""
-    letter = _FOLDED if fold else _LETTER
+    """64-bit hashes of the words; ``fold`` makes A-Z equal to a-z.
+
+    A word is read as integers of eight bytes.  One of up to seven bytes is its integer
+    with the length above, put through a bijection, so such words never collide.  Of a
+    longer one, each integer goes through the bijection together with its place, and
+    these are summed; so no pattern of letters cancels out, as it does in a polynomial
+    modulo a power of two.
+    """
     out = np.empty(len(starts), dtype=np.uint64)
     lo = 0
     while lo < len(starts):
         hi = max(lo + 1, int(np.searchsorted(ends, starts[lo] + PIECE, "right")))
         a, b = int(starts[lo]), int(ends[hi - 1])
-        up, down = _power_tables(max(PIECE, b - a) + 1)
-        total = np.zeros(b - a + 1, dtype=np.uint64)
-        np.cumsum(letter[data[a:b]] * up[: b - a], out=total[1:])
-        s, e = starts[lo:hi] - a, ends[lo:hi] - a
-        out[lo:hi] = (total[e] - total[s]) * down[s] + (e - s).astype(np.uint64) * U64(0xA0761D6478BD642F)
+        part = np.zeros(b - a + 8, dtype=np.uint8)
+        part[: b - a] = FOLD[data[a:b]] if fold else data[a:b]
+        eight = np.ndarray((b - a + 1,), "<u8", part, 0, (1,))
+        s, n = starts[lo:hi] - a, ends[lo:hi] - starts[lo:hi]
+        value = (eight[s] & _LOW[np.minimum(n, 8)]) + (np.minimum(n, 255).astype(np.uint64) << U64(56)) * (n < 8)
+        value = mix(value)
+        more = np.flatnonzero(n >= 8)
+        if len(more):
+            parts = n[more] // 8  # integers after the first, the last of them maybe short or empty
+            owner = np.repeat(more, parts)
+            place = np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts) + 1
+            at = np.minimum(s[owner] + 8 * place, b - a)
+            rest = eight[at] & _LOW[np.clip(n[owner] - 8 * place, 0, 8)]
+            mixed = mix(mix(rest + U64(0x2545F4914F6CDD1D)) ^ mix(place.astype(np.uint64) + U64(0x5851F42D4C957F2D)))
+            sums = np.add.reduceat(mixed, np.cumsum(parts) - parts)
+            value[more] = mix(value[more] + sums * U64(0x9E3779B97F4A7C15) + n[more].astype(np.uint64) * U64(0xA0761D6478BD642F))
+        out[lo:hi] = value
         lo = hi
-    return mix(out)
+    return out
 
 
 def grams(words: np.ndarray, n: int) -> np.ndarray:

@@ -40,3 +40,8 @@ def odd_texts(seed=0):
     out += [(7, base[7]), (7, base[8]), (None, base[7]), (None, None)]
     out.append("long " + " ".join(r.choice(vocabulary) + str(r.randrange(9)) for _ in range(20000)))
     return out
+
+
+def thue_morse(n, a, b):
+    """``n`` letters that cancel against their complement in a polynomial modulo a power of two."""
+    return "".join(b if i.bit_count() % 2 else a for i in range(n))
