@@ -21,18 +21,28 @@ text is one shingle; no words, no set).  Documents with 100 * |A n B| >= 75 *
    over several tasks (salted by the number of its partners).
 5. Least labels travel along confirmed links, with pointer jumping, until nothing
    changes; each round is a written table.
-6. What the buckets missed is found by an exact prefix-filtered join: sets that are
-   similar enough share one of their first ``n - need + 1`` shingles in any common
-   order.  Shingles that are frequent in a sample come last in it.  Only texts of
-   different components are tried, if lengths, places and the number of first shingles
-   they share still allow enough in common; the links found join components as before.
-
-So links are exact up to collisions of 64-bit shingle hashes: buckets only save work.
+6. What the buckets missed is found by an exact join (``shared_tokens``, ``unmet``):
+   a. Of each set the shingles of least hash, ``n - need + 1`` and an eighth of n more,
+      go to groups by their hash, packed.  A text with a partner shares more than
+      an eighth of ``need`` of them with it; texts that share fewer with all others
+      together are done.  Few are left, whatever passages are common.
+   b. Of the texts left, full sets are held against each other.  Shingles that only
+      texts of one component have can make no new link.  A text keeps the others, rarest
+      first, if they are at least ``need``; one of its first ``kept - need + 1`` is
+      shared with each partner in the same way (prefix filter).
+   c. Texts of different components meet at these.  Lengths, places and parity bitmaps
+      of the kept shingles bound what a pair can share; pairs that may share enough are
+      confirmed on their full sets, and the links join components as before.  A shingle
+      that many texts have first is dealt to cells of pairs of blocks of texts.
+
+So links are exact up to collisions of 64-bit shingle hashes (words of up to seven bytes
+have hashes of their own): buckets only save work.
 
 Defined cases: null and empty texts get no shingles, their own doc_id and are
 kept; a null doc_id counts as the smallest (component null); rows that share a
 doc_id are one node of the graph (they are linked to whatever either is linked to)
-and each keeps its own row; extra columns are ignored.
+and each keeps its own row; an empty table gives an empty result; texts of any length
+are read whole, in arrays of 16 bytes a word; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -41,6 +51,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,10 +66,14 @@ NARROW, WIDE = 4, 8
 LEAST_PERCENT = 75
 #: Partners of one centre that one task confirms.
 PARTNERS_PER_TASK = 256
-#: One text in so many is looked at to find frequent shingles, and one sampled text in so many makes one frequent.
-SAMPLE, RARE = 16, 4000
-#: Pairs that a task holds before it drops repeated ones.
-_PAIRS = 1 << 20
+#: Of a set's shingles, one in so many is looked at beyond the prefix when texts without a partner are ruled out.
+MARGIN = 8
+#: Shingles that a task packs at once, and groups of packed shingles for each partition of the texts.
+PACKED, GROUPS_PER_PARTITION = 1 << 22, 4
+#: Texts of one shingle that meet in one cell at most (by two such blocks), and words of a parity bitmap.
+BLOCK, PARITY = 2048, 16
+#: Pairs that a task compares at once.
+_PAIRS = 1 << 16
 _NO_ID = -(1 << 63)
 _U64 = np.uint64
 _ATTEMPTS = 512
@@ -125,126 +141,295 @@ def bands(least: np.ndarray) -> np.ndarray:
     return np.concatenate(out, axis=1)
 
 
-def prefix(s: np.ndarray, often: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The first shingles of a set, one of which every set that is similar enough has among its first."""
-    keep = len(s) - (LEAST_PERCENT * len(s) + 99) // 100 + 1 if len(s) else 0
-    if not len(often):
-        return s[:keep]
-    at = np.minimum(np.searchsorted(often, s), len(often) - 1)
-    return s[np.argsort(np.where(often[at] == s, counts[at], 0), kind="stable")[:keep]]
+def needed(n):
+    """Shingles that a text of ``n`` shares with each partner at least."""
+    return (LEAST_PERCENT * n + 99) // 100
 
 
-def _signer(frequent_ones):
-    def signed_rows(batches):
-        often, counts = frequent_ones.value
-        for batch in batches:
-            data, offsets = wb.utf8(batch.column(1))
-            for lo, hi in wb.groups(offsets):
-                a, b = offsets[lo], offsets[hi]
-                sets = shingle_sets(data[a:b], offsets[lo : hi + 1] - a)
-                keys = wb.signed(bands(signatures(sets)))
-                n = np.array([len(s) for s in sets], dtype=np.int64)
-                one = np.array([np.sum(wb.mix(s + _U64(1)), dtype=np.uint64) for s in sets], dtype=np.uint64)
-                two = np.array([np.sum(wb.mix(s ^ _U64(0x5DEECE66D)), dtype=np.uint64) for s in sets], dtype=np.uint64)
-                firsts = [prefix(s, often, counts) for s in sets]
-                ends = np.concatenate([[0], np.cumsum([len(f) for f in firsts])]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(lo, hi - lo),
-                        pa.array(n),
-                        pa.array(wb.signed(one)),
-                        pa.array(wb.signed(two)),
-                        pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * keys.shape[1]), pa.array(keys.ravel())),
-                        pa.ListArray.from_arrays(pa.array(ends), pa.array(wb.signed(np.concatenate(firsts)))),
-                    ],
-                    names=["rid", "n_shingles", "fp1", "fp2", "bands", "firsts"],
-                )
-
-    return signed_rows
-
-
-def _shingles(batches):
+def _signed_rows(batches):
     for batch in batches:
         data, offsets = wb.utf8(batch.column(1))
         for lo, hi in wb.groups(offsets):
             a, b = offsets[lo], offsets[hi]
             sets = shingle_sets(data[a:b], offsets[lo : hi + 1] - a)
-            yield pa.RecordBatch.from_arrays([pa.array(wb.signed(np.concatenate(sets)))], names=["shingle"])
+            keys = wb.signed(bands(signatures(sets)))
+            n = np.array([len(s) for s in sets], dtype=np.int64)
+            one, two = fingerprints(sets)
+            firsts = [s[: len(s) - needed(len(s)) + 1 + len(s) // MARGIN] for s in sets]
+            ends = np.concatenate([[0], np.cumsum([len(f) for f in firsts])]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).slice(lo, hi - lo),
+                    pa.array(n),
+                    pa.array(wb.signed(one)),
+                    pa.array(wb.signed(two)),
+                    pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * keys.shape[1]), pa.array(keys.ravel())),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(wb.signed(np.concatenate(firsts)))),
+                ],
+                names=["rid", "n_shingles", "fp1", "fp2", "bands", "firsts"],
+            )
 
 
-def frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that many texts of a sample hold, in order, and how many; ``docs`` has (rid, text).
+def fingerprints(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of each set."""
+    one = np.array([np.sum(wb.mix(s + _U64(1)), dtype=np.uint64) for s in sets], dtype=np.uint64)
+    two = np.array([np.sum(wb.mix(s ^ _U64(0x5DEECE66D)), dtype=np.uint64) for s in sets], dtype=np.uint64)
+    return one, two
+
+
+def _planes(a: np.ndarray) -> bytes:
+    """All first bytes, all second bytes and so on, which compress better."""
+    return a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes()
+
+
+def _from_planes(raw: bytes, kind, n: int, at: int) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8, n * size, at).reshape(size, n).T).view(kind).ravel()
+
+
+def _pack(token: np.ndarray, text: np.ndarray, keys: np.ndarray, idents: np.ndarray) -> bytes:
+    """Sorted tokens, the text of each (2 * its place in ``keys``, plus 1 if it is settled), and keys and idents."""
+    head = np.array([len(token), len(keys)], dtype=np.int64).tobytes()
+    diff = np.diff(token, prepend=_U64(0))
+    far = np.diff(keys, prepend=np.int64(0))
+    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(map(_planes, (diff, text.astype(np.uint32), far, idents - keys))))
 
-    They only set the order of the prefixes, which may be any; their number is bounded
-    by ``RARE`` times the shingles of a text.
-    """
-    sample = docs.where(F.pmod(F.xxhash64("rid"), F.lit(SAMPLE)) == 0)
-    least = max(3, sample.select("rid").count() // RARE)
-    got = sample.mapInArrow(_shingles, "shingle long").groupBy("shingle").agg(F.count("*").alias("n")).where(F.col("n") >= least).toArrow()
-    often = got["shingle"].to_numpy().astype(np.int64).view(np.uint64)
-    order = np.argsort(often)
-    return often[order], got["n"].to_numpy().astype(np.int64)[order]
 
+def _unpack(blob: bytes):
+    raw = zstandard.ZstdDecompressor().decompress(blob)
+    n, m = np.frombuffer(raw, np.int64, 2).tolist()
+    token, text = np.cumsum(_from_planes(raw, np.uint64, n, 16)), _from_planes(raw, np.uint32, n, 16 + 8 * n)
+    keys = np.cumsum(_from_planes(raw, np.int64, m, 16 + 12 * n))
+    return token, text.astype(np.int64), keys, keys + _from_planes(raw, np.int64, m, 16 + 12 * n + 8 * m)
 
-def _pairs_of(token, rid, component, place) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(a, b, least, n) of rids of different components that share n tokens, from rows in order of (token, n_shingles).
 
-    Of the sets of x and y, whose prefixes leave out rest(x) and rest(y) shingles, those in
-    common are either among both prefixes or at most as many as one prefix leaves out; so
-    ``least`` of them must be among both.
+def _runs(sorted_values: np.ndarray) -> np.ndarray:
+    """Where each run of equal values begins."""
+    return np.flatnonzero(np.concatenate([[len(sorted_values) > 0], sorted_values[1:] != sorted_values[:-1]]))
+
+
+def _packer(n_groups: int, shift: int, settle: bool):
+    """Map side: (key, ident, tokens) to packed groups of tokens.
+
+    With ``settle``, a token that texts of two idents have within one pack is counted
+    here for all of them; only two of its rows travel, however many there are.
     """
-    size, at = place >> 32, place & 0xFFFFFFFF
-    i, d, out, held = np.arange(len(token)), 0, [], 0
+
+    def flush(held, pack):
+        keys, idents = (np.concatenate([h[i] for h in held]) for i in (0, 1))
+        text = np.repeat(np.arange(len(keys)), np.concatenate([h[2] for h in held]))
+        token = np.concatenate([h[3] for h in held]) >> _U64(shift)
+        order = np.lexsort((idents[text], token)) if settle else np.argsort(token, kind="stable")
+        token, text = token[order], text[order]
+        known = np.zeros(len(token), dtype=np.int64)
+        if settle and len(token):
+            start = _runs(token)
+            size = np.diff(np.r_[start, len(token)])
+            last = start + size - 1
+            both = np.repeat(idents[text[start]] < idents[text[last]], size)
+            count = np.bincount(text[both], minlength=len(keys))
+            at = np.flatnonzero(count)
+            if len(at):
+                yield pack % n_groups, 1, _tally(*_summed_keys(keys[at], count[at]))
+            stay = ~both
+            stay[start] = stay[last] = True
+            token, text, known = token[stay], text[stay], both[stay].astype(np.int64)
+        group = (wb.mix(token + _U64(0x632BE59B)) % _U64(n_groups)).astype(np.int64)
+        order = np.argsort(group, kind="stable")
+        edges = np.searchsorted(group[order], np.arange(n_groups + 1))
+        rank = np.argsort(np.argsort(keys, kind="stable"), kind="stable")
+        by_key = np.argsort(keys, kind="stable")
+        for g in np.flatnonzero(np.diff(edges)).tolist():
+            here = order[edges[g] : edges[g + 1]]
+            used, local = np.unique(rank[text[here]], return_inverse=True)
+            yield g, 0, _pack(token[here], 2 * local + known[here], keys[by_key[used]], idents[by_key[used]])
+
+    def out(held, pack):
+        rows = list(flush(held, pack))
+        for lo in range(0, len(rows), 64):
+            g, k, b = zip(*rows[lo : lo + 64], strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(g, pa.int32()), pa.array(k, pa.int8()), pa.array([pack] * len(g), pa.int64()), pa.array(b, pa.binary())], names=["grp", "kind", "pack", "blob"])
+
+    def run(batches):
+        held, size, pack = [], 0, TaskContext.get().partitionId() << 32
+        for batch in batches:
+            lists = batch.column(2)
+            n = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            flat = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            for lo, hi in wb.groups(np.r_[0, np.cumsum(n)], PACKED):
+                edge = np.r_[0, np.cumsum(n)]
+                held.append((wb.ints(batch.column(0))[lo:hi], wb.ints(batch.column(1))[lo:hi], n[lo:hi], flat[edge[lo] : edge[hi]]))
+                size += int(edge[hi] - edge[lo])
+                if size >= PACKED:
+                    yield from out(held, pack)
+                    held, size, pack = [], 0, pack + 1
+        if size:
+            yield from out(held, pack)
+
+    return run
+
+
+def _summed_keys(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys in order, and the sum of ``n`` of each."""
+    out, place = np.unique(keys, return_inverse=True)
+    return out, np.bincount(place, n, len(out)).astype(np.int64)
+
+
+def _tally(keys: np.ndarray, n: np.ndarray) -> bytes:
+    """Keys in order and a number for each, packed."""
+    return zstandard.ZstdCompressor(level=1).compress(_planes(np.diff(keys, prepend=np.int64(0))) + _planes(n))
+
+
+def _read_tally(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompress(blob)
+    m = len(raw) // 16
+    return np.cumsum(_from_planes(raw, np.int64, m, 0)), _from_planes(raw, np.int64, m, 8 * m)
+
+
+def _read_group(table: pa.Table):
+    """Tokens in order, with key, ident, pack and whether settled."""
+    parts = []
+    for kind, pack, blob in zip(table.column("kind").to_pylist(), table.column("pack").to_pylist(), table.column("blob"), strict=True):
+        if kind == 0:
+            token, text, keys, idents = _unpack(blob.as_py())
+            parts.append((token, keys[text >> 1], idents[text >> 1], np.full(len(token), pack), text & 1))
+    out = [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else [np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 4]
+    order = np.lexsort((out[1], out[0]))
+    return [x[order] for x in out]
+
+
+def _shared(token, ident):
+    """Rows whose token texts of two idents have."""
+    start = _runs(token)
+    if not len(start):
+        return np.zeros(0, dtype=bool)
+    many = np.minimum.reduceat(ident, start) < np.maximum.reduceat(ident, start)
+    return np.repeat(many, np.diff(np.r_[start, len(token)]))
+
+
+def _counted(table: pa.Table) -> pa.Table:
+    """(pack, blob): the answer to each pack, of its texts how many tokens of this group they share."""
+    token, key, ident, pack, known = _read_group(table)
+    ok = _shared(token, ident) & (known == 0)
+    key, pack = key[ok], pack[ok]
+    order = np.argsort(pack, kind="stable")
+    key, pack = key[order], pack[order]
+    start = _runs(pack)
+    stop = np.r_[start[1:], len(pack)][: len(start)]
+    told = [(p, blob.as_py()) for kind, p, blob in zip(table.column("kind").to_pylist(), table.column("pack").to_pylist(), table.column("blob"), strict=True) if kind == 1]
+    told += [(int(pack[a]), _tally(*np.unique(key[a:b], return_counts=True))) for a, b in zip(start.tolist(), stop.tolist(), strict=True)]
+    return pa.table({"pack": pa.array([p for p, _ in told], pa.int64()), "blob": pa.array([b for _, b in told], pa.binary())})
+
+
+def _added(table: pa.Table) -> pa.Table:
+    """(key, n): the answers to one pack, summed by text."""
+    read = [_read_tally(b.as_py()) for b in table.column("blob")]
+    keys, n = _summed_keys(*(np.concatenate(x) for x in zip(*read, strict=True)))
+    return pa.table({"key": pa.array(keys), "n": pa.array(n)})
+
+
+def _listed(table: pa.Table) -> pa.Table:
+    """(key, token, n): the shared tokens of each text, and how many texts have each of them."""
+    token, key, ident, _, _ = _read_group(table)
+    once = np.ones(len(token), dtype=bool)
+    once[1:] = (token[1:] != token[:-1]) | (key[1:] != key[:-1])
+    token, key, ident = token[once], key[once], ident[once]
+    size = np.diff(np.r_[_runs(token), len(token)])
+    n, ok = np.repeat(size, size), _shared(token, ident)
+    return pa.table({"key": pa.array(key[ok]), "token": pa.array(wb.signed(token[ok])), "n": pa.array(n[ok].astype(np.int64))})
+
+
+def shared_tokens(rows: DataFrame, parts: int, shift: int = 0, count: bool = False) -> DataFrame:
+    """What texts share with texts of another ident; ``rows`` has (key, ident, tokens).
+
+    (key, token, n), n being the texts that have the token; with ``count`` only (key, n), the
+    number of tokens shared, in one or more rows a key (a group answers each pack of texts that
+    asked it, and the answers to a pack meet).  ``shift`` drops low bits, which can only make
+    more tokens equal.
+    """
+    packed = rows.mapInArrow(_packer(max(8, GROUPS_PER_PARTITION * parts), shift, count), "grp int, kind byte, pack long, blob binary").groupBy("grp")
+    if count:
+        return packed.applyInArrow(_counted, "pack long, blob binary").groupBy("pack").applyInArrow(_added, "key long, n long")
+    return packed.applyInArrow(_listed, "key long, token long, n long")
+
+
+_MEETING = "token long, cell long, block long, rid long, component long, n long, at long, kept long, parity binary"
+
+
+def _prefixes(batches):
+    """Rows of _MEETING from (rid, component, n_shingles, tokens), the tokens in the common order."""
+    for batch in batches:
+        rid, component, size = (wb.ints(batch.column(i)) for i in range(3))
+        for i, tokens in enumerate(batch.column(3)):
+            many, token = (np.array(tokens.values.field(k)) for k in (0, 1))
+            kept = len(token)
+            first = kept - int(needed(size[i])) + 1
+            bit = np.bincount((wb.mix(token.view(np.uint64) + _U64(0x7F4A7C15)) % _U64(64 * PARITY)).astype(np.int64), minlength=64 * PARITY) & 1
+            parity = np.packbits(bit.astype(np.uint8)).tobytes()
+            blocks = -(-many[:first] // BLOCK)
+            own = int(wb.mix(np.array([rid[i]]).view(np.uint64))[0])
+            block = np.array([own % int(b) for b in blocks], dtype=np.int64)
+            at = np.repeat(np.arange(first), blocks)
+            other = np.arange(len(at)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+            mine = block[at]
+            cell = np.minimum(mine, other) * blocks[at] + np.maximum(mine, other)
+            cell = np.where(mine == other, cell, -1 - cell)
+            same = lambda x, m=len(at): pa.array(np.full(m, x, dtype=np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(token[at]), pa.array(cell), pa.array(mine), same(rid[i]), same(component[i]), same(size[i]), pa.array(at.astype(np.int64)), same(kept), pa.array([parity] * len(at), pa.binary())],
+                names=[c.split()[0] for c in _MEETING.split(", ")],
+            )
+
+
+def _pairs_of(token, cell, block, rid, component, size, at, kept, parity) -> Iterator[np.ndarray]:
+    """(a, b) of rids of different components that may share enough, from rows in order of (token, cell, size)."""
+    i, d = np.arange(len(token)), 0
     while len(i):
         d += 1
         i = i[i + d < len(token)]
         j = i + d
-        # Sizes grow within a token: beyond the first that is too large all are.
-        i = i[(token[i] == token[j]) & (100 * size[i] >= LEAST_PERCENT * size[j])]
+        # Sizes grow within a cell: beyond the first that is too large all are.
+        i = i[(token[i] == token[j]) & (cell[i] == cell[j]) & (100 * size[i] >= LEAST_PERCENT * size[j])]
         j = i + d
-        common = np.minimum(at[i], at[j]) + np.minimum(size[i] - at[i], size[j] - at[j])
         need = (LEAST_PERCENT * (size[i] + size[j]) + 99 + LEAST_PERCENT) // (100 + LEAST_PERCENT)
-        ok = (component[i] != component[j]) & (common >= need)
-        a, b = rid[i[ok]], rid[j[ok]]
-        rest = (LEAST_PERCENT * np.maximum(size[i], size[j])[ok] + 99) // 100 - 1
-        out.append(np.stack([np.minimum(a, b), np.maximum(a, b), need[ok] - rest], axis=1))
-        held += len(a)
-        if held > _PAIRS:
-            yield np.unique(np.concatenate(out), axis=0, return_counts=True)
-            out, held = [], 0
-    if held:
-        yield np.unique(np.concatenate(out), axis=0, return_counts=True)
+        common = np.minimum(at[i], at[j]) + np.minimum(kept[i] - at[i], kept[j] - at[j])
+        ok = (component[i] != component[j]) & (common >= need) & ((block[i] == block[j]) == (cell[i] >= 0))
+        x, y, need = i[ok], j[ok], need[ok]
+        for lo in range(0, len(x), _PAIRS):
+            a, b = x[lo : lo + _PAIRS], y[lo : lo + _PAIRS]
+            apart = np.bitwise_count(parity[a] ^ parity[b]).sum(axis=1, dtype=np.int64)
+            ok = (kept[a] + kept[b] - apart) // 2 >= need[lo : lo + _PAIRS]
+            a, b = rid[a[ok]], rid[b[ok]]
+            if len(a):
+                yield np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1)
 
 
 def _meetings(batches):
-    """(a, b, least, n) that meet, from (token, rid, component, place) in order of token and place."""
-
-    def emit(columns):
-        token, component = columns[0], columns[2]
-        if not len(token):
-            return
-        start = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-        mixed = np.minimum.reduceat(component, start) < np.maximum.reduceat(component, start)
-        rows = np.repeat(mixed, np.diff(np.concatenate([start, [len(token)]])))
-        for pairs, n in _pairs_of(*(c[rows] for c in columns)):
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(pairs[:, 2]), pa.array(n)], names=["a", "b", "least", "n"])
-
-    waiting: list[list[np.ndarray]] = []
-    rows = 0
+    """Different (a, b) that meet, from rows of _MEETING in order of token, cell and n."""
+
+    def emit(parts):
+        columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
+        made = list(_pairs_of(*columns))
+        if made:
+            pairs = np.unique(np.concatenate(made), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+    waiting, rows = [], 0
     for batch in batches:
         if not batch.num_rows:
             continue
-        now = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        now = [c.to_numpy(zero_copy_only=False) for c in batch.columns[:-1]]
+        parity = batch.column(batch.num_columns - 1).cast(pa.binary(8 * PARITY))
+        now.append(np.frombuffer(parity.buffers()[1], np.uint64).reshape(-1, PARITY)[parity.offset : parity.offset + len(parity)])
         # The last token may go on in the next batch.
         cut = int(np.searchsorted(now[0], now[0][-1]))
-        if waiting and waiting[-1][0][-1] != now[0][-1]:
-            if rows + cut > 1 << 18:
-                yield from emit([np.concatenate(c) for c in zip(*waiting, [c[:cut] for c in now], strict=True)])
-                waiting, rows, now = [], 0, [c[cut:] for c in now]
+        if waiting and waiting[-1][0][-1] != now[0][-1] and rows + cut > 1 << 17:
+            yield from emit([*waiting, [c[:cut] for c in now]])
+            waiting, rows, now = [], 0, [c[cut:] for c in now]
         waiting.append(now)
         rows += len(now[0])
     if waiting:
-        yield from emit([np.concatenate(c) for c in zip(*waiting, strict=True)])
+        yield from emit(waiting)
 
 
 def _sets(batches):
@@ -256,13 +441,29 @@ def _sets(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array([s.tobytes() for s in sets], pa.binary())], names=["rid", "hashes"])
 
 
-def _confirmed(batches):
+def _keyed_sets(batches):
+    """(rid, component, key, n_shingles, tokens) from (rid, text, component); equal sets of one rid have one key."""
+    for batch in batches:
+        data, offsets = wb.utf8(batch.column(1))
+        for lo, hi in wb.groups(offsets):
+            a, b = offsets[lo], offsets[hi]
+            sets = shingle_sets(data[a:b], offsets[lo : hi + 1] - a)
+            rid, n = batch.column(0).slice(lo, hi - lo), np.array([len(s) for s in sets], dtype=np.int64)
+            key = wb.mix(fingerprints(sets)[0] + wb.mix(wb.ints(rid).view(np.uint64)))
+            tokens = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)].astype(np.int32)), pa.array(wb.signed(np.concatenate(sets))))
+            yield pa.RecordBatch.from_arrays([rid, batch.column(2).slice(lo, hi - lo), pa.array(wb.signed(key)), pa.array(n), tokens], names=["rid", "component", "key", "n_shingles", "tokens"])
+
+
+_KEYED_SETS = "rid long, component long, key long, n_shingles long, tokens array<long>"
+
+
+def _confirmed(batches, read=lambda x: np.frombuffer(x.as_buffer(), dtype=np.uint64)):
     """Keep the edges whose full sets are similar enough."""
     for batch in batches:
         left, right = batch.column(2), batch.column(3)
         ok = []
         for i in range(batch.num_rows):
-            a, b = (np.frombuffer(x[i].as_buffer(), dtype=np.uint64) for x in (left, right))
+            a, b = read(left[i]), read(right[i])
             if 100 * min(len(a), len(b)) < LEAST_PERCENT * max(len(a), len(b)):
                 ok.append(False)
                 continue
@@ -274,6 +475,10 @@ def _confirmed(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
 
+def _confirmed_lists(batches):
+    return _confirmed(batches, lambda x: x.values.to_numpy())
+
+
 def stars(rows: DataFrame) -> DataFrame:
     """(bucket, a, near, rid): each member of a bucket with its least member, from (rid, bucket).
 
@@ -314,13 +519,27 @@ def linked_stars(heads: DataFrame, failed: DataFrame, links: DataFrame) -> DataF
     return failed.join(centre, "bucket").select(F.col("top.rid").alias("a"), F.col("rid").alias("b")).where("a <> b").distinct()
 
 
-def unmet(heads: DataFrame, labels: DataFrame) -> DataFrame:
-    """(a, b): texts of different components whose prefixes meet; ``labels`` has (rid, component)."""
-    rows = heads.select("rid", "n_shingles", "firsts").join(labels, "rid", "left")
-    token = rows.select("rid", F.coalesce("component", "rid").alias("component"), "n_shingles", F.posexplode("firsts").alias("at", "token"))
-    dealt = token.select("token", "rid", "component", (F.shiftleft("n_shingles", 32) + F.col("at")).alias("place")).repartition("token")
-    met = dealt.sortWithinPartitions("token", "place").mapInArrow(_meetings, "a long, b long, least long, n long")
-    return met.groupBy("a", "b").agg(F.sum("n").alias("n"), F.min("least").alias("least")).where("n >= least").select("a", "b")
+def unmet(signed: DataFrame, heads: DataFrame, labels: DataFrame, keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(a, b): texts of different components that may share enough; and (rid, hashes), the sets of such texts.
+
+    ``labels`` has (rid, component), ``keyed`` (rid, text).
+    """
+    spark, parts = keyed.sparkSession, keyed.rdd.getNumPartitions()
+    total = signed.agg(F.sum("n_shingles")).first()[0] or 0
+    shift = max(0, 64 - 8 - int(total).bit_length())  # one token in 256 looks shared by chance
+    firsts = signed.where("n_shingles > 0").select(F.col("rid").alias("key"), F.col("rid").alias("ident"), F.col("firsts").alias("tokens"))
+    shares = shared_tokens(firsts, parts, shift, count=True).groupBy(F.col("key").alias("rid")).agg(F.sum("n").alias("n"))
+    enough = F.expr(f"n >= 1 + floor(ceil({LEAST_PERCENT} * n_shingles / 100.0) / {MARGIN})")
+    left = heads.select("rid", "n_shingles").join(shares, "rid").where(enough).select("rid").distinct()
+    left = scratch.table(spark, left.join(labels, "rid", "left").select("rid", F.coalesce("component", "rid").alias("component")), "left")
+    sets = scratch.table(spark, keyed.join(left, "rid").select("rid", "text", "component").mapInArrow(_keyed_sets, _KEYED_SETS), "left_sets")
+    listed = shared_tokens(sets.select("key", F.col("component").alias("ident"), "tokens"), parts)
+    kept = listed.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("tokens"))
+    texts = sets.select("key", "rid", "component", "n_shingles").distinct()
+    full = kept.join(texts, "key").where(F.expr(f"100L * size(tokens) >= {LEAST_PERCENT} * n_shingles"))
+    dealt = full.select("rid", "component", "n_shingles", "tokens").mapInArrow(_prefixes, _MEETING).repartition("token", "cell")
+    met = dealt.sortWithinPartitions("token", "cell", "n").mapInArrow(_meetings, "a long, b long").distinct()
+    return met, sets
 
 
 def shingle_table(spark: SparkSession, docs: DataFrame, edges: DataFrame) -> DataFrame:
@@ -329,7 +548,7 @@ def shingle_table(spark: SparkSession, docs: DataFrame, edges: DataFrame) -> Dat
     return scratch.table(spark, docs.join(wanted.hint("merge"), "rid").select("rid", "text").mapInArrow(_sets, "rid long, hashes binary"), "shingles")
 
 
-def confirm(sets: DataFrame, edges: DataFrame) -> DataFrame:
+def confirm(sets: DataFrame, edges: DataFrame, compare=_confirmed) -> DataFrame:
     """Edges that hold on the full shingle sets.
 
     All joins are sort-merge joins: the edges grow with the corpus, so they are never
@@ -345,7 +564,7 @@ def confirm(sets: DataFrame, edges: DataFrame) -> DataFrame:
         .join(centres.select(F.col("rid").alias("a"), "salt", F.col("hashes").alias("left")).hint("merge"), ["a", "salt"])
         .select("a", "b", "left", "right")
     )
-    return paired.mapInArrow(_confirmed, "a long, b long")
+    return paired.mapInArrow(compare, "a long, b long")
 
 
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
@@ -380,8 +599,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
     keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("rid"), "text")
-    shared = spark.sparkContext.broadcast(frequent(keyed))
-    signed = scratch.table(spark, keyed.mapInArrow(_signer(shared), "rid long, n_shingles long, fp1 long, fp2 long, bands array<long>, firsts array<long>"), "signatures")
+    signed = scratch.table(spark, keyed.mapInArrow(_signed_rows, "rid long, n_shingles long, fp1 long, fp2 long, bands array<long>, firsts array<long>"), "signatures")
     prints = ["n_shingles", "fp1", "fp2"]
     with_set = signed.where("n_shingles > 0")
     classes = scratch.table(spark, with_set.groupBy(*prints).agg(F.min("rid").alias("head"), F.max("rid").alias("tail")), "classes")
@@ -400,11 +618,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = found.unionAll(more).unionAll(copies.join(several, "b", "left_semi").select("a", "b")).distinct()
     links = scratch.table(spark, links, "confirmed")
     near = components(spark, links)
-    rest = scratch.table(spark, unmet(heads, near), "rest")
-    new = scratch.table(spark, rest.select(F.explode(F.array("a", "b")).alias("rid")).distinct().join(sets.select("rid"), "rid", "left_anti"), "wanted")
-    # A few texts of many: the size of the table decides how it is joined.
-    more_sets = scratch.table(spark, keyed.join(new, "rid").select("rid", "text").mapInArrow(_sets, "rid long, hashes binary"), "shingles")
-    late = scratch.table(spark, confirm(sets.unionAll(more_sets), rest).distinct(), "links")
+    rest, kept = unmet(signed, heads, near, keyed)
+    rest = scratch.table(spark, rest, "rest")
+    late = scratch.table(spark, confirm(kept.select("rid", F.col("tokens").alias("hashes")), rest, _confirmed_lists).distinct(), "links")
     if late.limit(1).count():
         near = components(spark, links.unionAll(late))
     return _labelled(signed, copies, near)

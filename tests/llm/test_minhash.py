@@ -3,7 +3,7 @@ from itertools import combinations
 
 from fedspark.llm import minhash
 
-from .cases import SPACE, lower, make, odd_texts
+from .cases import SPACE, lower, make, odd_texts, thue_morse
 
 
 def brute(rows):
@@ -123,3 +123,30 @@ def test_prefix_join_alone_is_exact(spark, monkeypatch):
             texts.append(" ".join(other + b[: k % 9]))
     df = make(spark, texts)
     assert sorted(map(tuple, minhash.near_duplicates(df).collect()), key=str) == brute([(x.doc_id, x.text) for x in df.collect()])
+
+
+def test_cells_of_a_crowded_shingle(spark, monkeypatch):
+    """Texts that meet in cells of pairs of blocks, and packs that are small, give the same links."""
+    monkeypatch.setattr(minhash, "stars", lambda rows: rows.where("false").selectExpr("bucket", "rid as a", "rid as near", "rid"))
+    monkeypatch.setattr(minhash, "BLOCK", 3)
+    monkeypatch.setattr(minhash, "PACKED", 500)
+    r = random.Random(8)
+    word = lambda: f"w{r.randrange(10**6)}"
+    base = [word() for _ in range(60)]
+    texts = []
+    for _ in range(60):
+        other = base[:]
+        start = r.randrange(60)
+        for k in range(r.randrange(12)):
+            other[(start + k) % 60] = word()
+        texts.append(" ".join(other))
+    texts += [" ".join(word() for _ in range(30)) for _ in range(100)]
+    df = make(spark, texts)
+    assert sorted(map(tuple, minhash.near_duplicates(df).collect()), key=str) == brute([(x.doc_id, x.text) for x in df.collect()])
+
+
+def test_words_that_cancel_in_a_polynomial(spark):
+    """Texts of Thue-Morse words share no shingle with those of their complements."""
+    texts = [" ".join(thue_morse(n, a, b) for n in (1024, 2048, 4096, 8192, 1024, 512)) for a, b in ("ab", "ba")]
+    df = make(spark, texts)
+    assert sorted(map(tuple, minhash.near_duplicates(df).collect()), key=str) == brute([(x.doc_id, x.text) for x in df.collect()])
