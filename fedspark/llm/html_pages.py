@@ -91,6 +91,9 @@ class _Page:
 
     def talk(self):
         a, b = self.open(self.r.choice(_TALK))
+        if self.r.random() < 0.2:  # a lone remark
+            said = self.say(self.sentence(2, 12), 0)
+            return a + self.r.choice([f"<p>{said}</p>", f"<div>{said}</div>", said]) + b
         inner = self.r.choice(["li", "div", "article", "p"])
         out = [f"<h3>{self.say(self.r.choice(_SAYINGS['talk']), 0)}</h3>"] if self.r.random() < 0.7 else []
         for _ in range(self.r.randint(1, 6)):
@@ -132,6 +135,8 @@ class _Page:
                     first, _, rest = t.partition(" ")
                     t = f'<a href="#">{first}</a> {rest}' if rest else t
                 out.append(f"<p>{t}</p>" if style < 0.8 else f"<p>{t}" if style < 0.9 else f"<div>{t}</div>")
+        if self.r.random() < 0.2:  # readers' comments inside the article's element
+            out.append(self.talk())
         return a + "".join(out) + b
 
     def make(self) -> str:

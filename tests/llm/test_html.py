@@ -79,3 +79,30 @@ def test_long_attributes_are_told_apart():
     read = lambda c: he.blocks_of(page % (style, c))[0].path
     assert read("sidebar") == he.blocks_of(page % ("", "sidebar"))[0].path
     assert read("article") == he.blocks_of(page % ("", "article"))[0].path != read("sidebar")
+
+
+def test_comments_inside_the_article(spark):
+    """Readers' comments go, also where they stand inside the article's element, alone or in a row."""
+    story = [f"This is the long {w} paragraph of the story, which tells of many things in turn." for w in ("first", "second", "third", "fourth")]
+    body = "<h1>A title of the story.</h1>" + "".join(f"<p>{x}</p>" for x in story)
+    want = "\n".join(["A title of the story.", *story])
+    talks = [
+        "<section class=comments><p>Nice post, I liked it a lot.</p></section>",
+        '<div class="comments"><h3>2 comments</h3><div class="comment"><b>Ann</b><p>I do not agree with this at all.</p></div><div class="comment"><b>Bo</b><p>Well said.</p></div></div>',
+        '<ol class="comment-list"><li>Thanks for writing this.</li><li>So true!</li></ol>',
+    ]
+    rows = [(i, "u", f"<body><nav><ul><li><a href=/>Home</a></ul></nav><article>{body}{t}</article><footer>© 2024 us</footer></body>", "", "") for i, t in enumerate(talks)]
+    got = {r.page_id: r.text for r in he.main_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got == {i: want for i in range(len(talks))}
+
+
+def test_order_of_pages_and_repeated_rows(spark):
+    """A page gives the same row wherever it stands, and each of its repeats; a page of several MB is read whole."""
+    pages = [html_pages._Page(99_000_000 + i).make() for i in range(40)]
+    long = "<body><article>" + "".join(f"<p>The {i} sentence of a long story, told in words.</p>" for i in range(60_000)) + "</article></body>"
+    rows = [(i, None, p, "", "") for i, p in enumerate([*pages, long, pages[0]])]
+    texts = []
+    for order in (rows, rows[::-1]):
+        texts.append({r.page_id: r.text for r in he.main_text(spark.createDataFrame(order, PAGES).coalesce(1)).collect()})
+    assert texts[0] == texts[1] and texts[0][0] == texts[0][len(pages) + 1]
+    assert texts[0][len(pages)].count("\n") == 59_999
