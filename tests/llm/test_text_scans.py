@@ -1,5 +1,7 @@
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -61,19 +63,61 @@ def test_language_accuracy(spark):
     assert out[0] > 0.97 and out[1] > 0 and out[2] <= 1
 
 
-def test_language_scores_match_a_plain_sum(spark):
-    texts = ["Hello wörld", "", "x", "ab", "zażółć gęślą jaźń " * 40000]
-    matrix = np.random.default_rng(0).normal(size=(language_id.BUCKETS, 3)).astype(np.float32)
-    raw = [t.encode() for t in texts]
-    data = np.frombuffer(b"".join(raw), np.uint8)
-    offsets = np.concatenate([[0], np.cumsum([len(t) for t in raw])])
-    got = language_id.score_texts(data, offsets, matrix)
-    for i, t in enumerate(raw):
-        want = np.zeros(3)
-        f = language_id.features(np.frombuffer(t, np.uint8))
-        for n, x in zip(language_id.ORDERS, f):
-            want += matrix[x[: max(0, len(t) - n + 1)]].astype(float).sum(axis=0)
-        assert np.allclose(got[i], want, rtol=1e-6)
+def plain_bucket(gram):
+    """Bucket of one n-gram, in plain integers."""
+    low, total = 2**32 - 1, 0
+    for c in gram:
+        total = ((total ^ total >> 15) * 0x2C1B3C6D + ord(c) + 1) & low
+    h = ((total + len(gram) * 0x01000193) & low) * 0x9E3779B1 & low
+    return ((h ^ h >> 15) * 0x85EBCA77 & low) >> 32 - 14
+
+
+def plain_grams(text):
+    t = text.lower()
+    return Counter(plain_bucket(t[i : i + n]) for n in language_id.ORDERS for i in range(len(t) - n + 1))
+
+
+def plain_bayes(rows):
+    """(doc_id, held_out, lang_pred, score) by naive Bayes without numpy's batches."""
+    counts = {}
+    held = lambda d: d is not None and zlib.crc32(str(d).encode()) % 3 == 1
+    for d, t, lang in rows:
+        if t is not None and lang is not None and d is not None and not held(d):
+            counts.setdefault(lang, Counter()).update(plain_grams(t))
+    every = language_id.BUCKETS * language_id.SMOOTHING
+    out = []
+    for d, t, _ in rows:
+        if t is None or not any(c.isalpha() for c in t) or not counts:
+            out.append((d, held(d), "und", 0.0))
+            continue
+        grams = plain_grams(t)
+        score = {x: sum(n * math.log((c[b] + language_id.SMOOTHING) / (c.total() + every)) for b, n in grams.items()) for x, c in counts.items()}
+        best = max(sorted(score), key=score.get)
+        out.append((d, held(d), best, 1 / sum(math.exp(max(-700, s - score[best])) for s in score.values())))
+    return sorted(out, key=str)
+
+
+def test_language_matches_plain_bayes(spark, monkeypatch):
+    """Also where languages come in several blocks and texts in several pieces; scripts of 2 and 3 bytes a letter."""
+    r = np.random.default_rng(6)
+    kinds = {"en": "thequickbrownfx ", "ru": "съешьещёэтих ", "uk": "їжакєґанок ", "ja": "日本語のテキスト ", "el": "ξεσκεπάζω "}
+    rows_ = [(i, "".join(r.choice(list(kinds[x]), r.integers(1, 80))), x) for i, x in enumerate(r.choice(list(kinds), 120))]
+    rows_ += [(200, None, "en"), (201, "½ ² ٣", "en"), (202, "", "ru"), (203, "İSTANBUL ǅ", None), (None, "the fox", "en"), (204, "x" * 5000, "en"), (204, "x" * 5000, "en"), (205, "12 a", "en")]
+    df = spark.createDataFrame(rows_, "doc_id long, text string, lang string")
+    want = plain_bayes(rows_)
+    for languages, piece in ((250, 1 << 18), (2, 50)):
+        monkeypatch.setattr(language_id, "LANGUAGES", languages)
+        monkeypatch.setattr(language_id, "PIECE", piece)
+        got = rows(language_id.identify(df))
+        assert [x[:3] for x in got] == [x[:3] for x in want]
+        assert np.allclose([x[3] for x in got], [x[3] for x in want], atol=1e-3)
+    held = [(g, x[2]) for g, x in zip(sorted(got, key=lambda y: str(y[0])), sorted(rows_, key=lambda y: str(y[0]))) if g[1] and g[2] != "und" and x[2]]
+    assert sum(g[2] == x for g, x in held) >= 0.9 * len(held) > 20
+
+
+def test_language_of_a_very_long_text(spark):
+    df = make(spark, ["A plain sentence of words. " * 200_000, "Ein Satz."] * 3)
+    assert all(0 < x[3] <= 1 for x in rows(language_id.identify(df)))
 
 
 def test_language_odd_cases(spark):
@@ -153,8 +197,6 @@ def test_permutation():
 
 
 def test_shards(spark):
-    import zlib
-
     for df in (make(spark, odd_texts(), extra=True), spark.read.parquet("/root/testdata/sf0.01/documents.parquet")):
         out = sharding.shard(df.repartition(7)).collect()
         n = df.count()
