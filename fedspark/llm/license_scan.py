@@ -1,25 +1,31 @@
 """License scan: an exact set-similarity join of text blocks with license templates.
 
-A block is one line of a text, taken as its set of words (A-Z lower-cased, split at
-all ASCII that is no letter or digit).  A block belongs to a template if it holds
-at least ``CONTAINMENT`` of the template's words.
+A block is any run of as many consecutive words of a text as a template has (A-Z
+lower-cased, split at all ASCII that is no letter or digit), so a notice is found
+whatever lines it is wrapped over.  A block belongs to a template if it holds at least
+``CONTAINMENT`` of the template's distinct words.
 
 * Template words are put in order of their frequency in the whole corpus (a first
   pass; one number per template word comes back), rarest first.
 * Prefix filter: with ``need`` words to share, a block must hold one of the first
-  ``size - need + 1`` words of the template in that order.
-* Length filter: a block with fewer than ``need`` distinct template words is out.
-* Positional filter: if the first shared word stands at place i of the template,
-  at most ``size - i`` words can be shared.
-* Survivors are counted in full.
+  ``size - need + 1`` words of the template in that order.  An inverted index of these
+  words gives the templates that stand to reason at each place of a text.
+* Length filter: a stretch of a text with fewer than ``need`` words of the template in
+  reach of such a place is out.
+* Positional filter: if the first word shared stands at place i of the template's order,
+  at most ``size - i`` words can be shared; so each place looks only at the template's
+  words that follow its own in that order, and rarer ones are left to their own places.
+* Survivors are counted in full: a word counts for the blocks that begin after its
+  last occurrence before, so each block counts it once.
 
 Templates are a fixed list, so what is broadcast does not grow with the data, and
 the join needs no shuffle.  Besides, the words of the base phrases standing in a
 row give the base labels.
 
-Defined cases: a null text counts as empty (no words, no labels, score 0); a null
-doc_id passes through; rows are judged one by one, so repeated rows give equal
-results; extra columns are ignored.
+Defined cases: a null text counts as empty (no words, no labels, score 0); an empty
+table gives an empty result; a text shorter than a template is one block; a null doc_id
+passes through; rows are judged one by one, so repeated rows give equal results; texts
+of any length are read whole, in arrays of 16 bytes a word; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,11 +46,24 @@ PHRASES = {"mit license": "mit", "apache license": "apache", "general public lic
 TEMPLATES = [
     ("mit", "Released under the MIT License"),
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+    ("mit", "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"),
+    ("mit", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software"),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies"),
     ("apache", "Licensed under the Apache License, Version 2.0"),
     ("apache", "you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
+    ("apache", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied"),
     ("gpl", "This work is licensed under the GNU General Public License, version 3"),
     ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License"),
+    ("gpl", "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version"),
+    ("lgpl", "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"),
+    ("agpl", "under the terms of the GNU Affero General Public License as published by the Free Software Foundation"),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("bsd", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer"),
+    ("bsd", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution"),
+    ("zlib", "This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software"),
+    ("boost", "Distributed under the Boost Software License, Version 1.0"),
+    ("epl", "This program and the accompanying materials are made available under the terms of the Eclipse Public License"),
+    ("cc0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work"),
     ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
     ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
     ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
@@ -65,17 +84,14 @@ def _vocabulary(templates) -> np.ndarray:
 
 
 def _texts(batches) -> Iterator[tuple]:
-    """(batch, lo, hi, hashes, first word of each text, block of each word)."""
+    """(batch, lo, hi, word hashes, first word of each text)."""
     for batch in batches:
         data, offsets = wb.utf8(batch.column(1))
         for lo, hi in wb.groups(offsets):
             a, b = offsets[lo], offsets[hi]
             part, at = data[a:b], offsets[lo : hi + 1] - a
             starts, ends, first = wb.spans(part, at, wb.ALNUM)
-            lines = np.cumsum(part == 10)
-            owner = np.repeat(np.arange(hi - lo), np.diff(first))
-            block = (lines[starts] if len(starts) else starts) + owner
-            yield batch, lo, hi, wb.hashes(part, starts, ends, fold=True), first, block
+            yield batch, lo, hi, wb.hashes(part, starts, ends, fold=True), first
 
 
 def _members(vocabulary: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -94,7 +110,7 @@ def word_frequencies(docs: DataFrame, templates=TEMPLATES) -> np.ndarray:
 
     def count(batches):
         total = np.zeros(len(vocabulary), dtype=np.int64)
-        for _, _, _, hashes, _, _ in _texts(batches):
+        for _, _, _, hashes, _ in _texts(batches):
             total += np.bincount(_members(vocabulary, hashes)[1], minlength=len(vocabulary))
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["word", "n"])
@@ -106,45 +122,88 @@ def word_frequencies(docs: DataFrame, templates=TEMPLATES) -> np.ndarray:
     return out
 
 
-def _ordered(templates, frequencies: np.ndarray, containment: float) -> list[tuple[str, np.ndarray, int]]:
-    """(label, vocabulary indexes from rarest to most frequent, words to share)."""
-    vocabulary = _vocabulary(templates)
-    out = []
-    for label, text in templates:
-        index = np.searchsorted(vocabulary, np.unique(_words(text)))
-        index = index[np.lexsort((vocabulary[index], frequencies[index]))]
-        need = int(np.ceil(containment * len(index) - 1e-9))
-        out.append((label, index, max(1, need)))
-    return out
+class Index:
+    """Templates with their words in order of frequency, and an inverted index of their prefixes."""
 
+    def __init__(self, templates, frequencies: np.ndarray, containment: float):
+        self.vocabulary = _vocabulary(templates)
+        self.labels = [label for label, _ in templates]
+        #: Words of each template with repeats (the length of a block), different words, words to share.
+        self.length, self.size, self.need = [], [], []
+        #: Place of each vocabulary word in a template's order, -1 if it is not there.
+        self.place = np.full((len(templates), len(self.vocabulary)), -1, dtype=np.int64)
+        self.prefix = np.zeros((len(templates), len(self.vocabulary)), dtype=bool)
+        for t, (_, text) in enumerate(templates):
+            words = _words(text)
+            index = np.searchsorted(self.vocabulary, np.unique(words))
+            index = index[np.lexsort((self.vocabulary[index], frequencies[index]))]
+            need = max(1, int(np.ceil(containment * len(index) - 1e-9)))
+            self.length.append(len(words))
+            self.size.append(len(index))
+            self.need.append(need)
+            self.place[t, index] = np.arange(len(index))
+            self.prefix[t, index[: len(index) - need + 1]] = True
+        self.any_prefix = self.prefix.any(axis=0)
 
-def _join(block: np.ndarray, word: np.ndarray, order) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(template, blocks that meet the threshold, words shared) from (block, vocabulary word) pairs."""
-    if not len(block):
-        return
-    pairs = np.unique(np.stack([block, word], axis=1), axis=0)
-    block, word = pairs[:, 0], pairs[:, 1]
-    blocks, held = np.unique(block, return_counts=True)
-    for t, (_, index, need) in enumerate(order):
-        place = np.full(int(word.max()) + 1, -1)
-        inside = index[index < len(place)]
-        place[inside] = np.flatnonzero(index < len(place))
-        at = place[word]
-        prefix = len(index) - need + 1
-        candidates = np.unique(block[(at >= 0) & (at < prefix)])
-        if len(candidates):
-            candidates = candidates[held[np.searchsorted(blocks, candidates)] >= need]
-        if not len(candidates):
-            continue
-        mine = (at >= 0) & np.isin(block, candidates)
-        which = np.searchsorted(candidates, block[mine])
-        first = np.full(len(candidates), len(index))
-        np.minimum.at(first, which, at[mine])
-        possible = len(index) - first >= need
-        shared = np.bincount(which, minlength=len(candidates))
-        ok = possible & (shared >= need)
-        if ok.any():
-            yield t, candidates[ok], shared[ok]
+    def join(self, at: np.ndarray, word: np.ndarray, owner: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(template, texts with a block that meets the threshold, most words shared), from the places of
+        vocabulary words in order, and the text of each."""
+        if not self.any_prefix[word].any():
+            return
+        # Texts far apart, so that no block reaches into the next.
+        at = at + owner * max(self.length)
+        for t in np.flatnonzero(self.prefix[:, np.unique(word)].any(axis=1)).tolist():
+            length, size, need = self.length[t], self.size[t], self.need[t]
+            mine = np.flatnonzero(self.place[t, word] >= 0)
+            where, order = at[mine], self.place[t, word[mine]]
+            seeds = np.flatnonzero(order <= size - need)
+            lo, hi = np.searchsorted(where, where[seeds] - length + 1), np.searchsorted(where, where[seeds] + length - 1, "right")
+            seeds, lo, hi = (x[hi - lo >= need] for x in (seeds, lo, hi))
+            if not len(seeds):
+                continue
+            # Words in reach of a seed that follow it in the template's order, and the seed.
+            n = hi - lo
+            near = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - lo, n)
+            seed = np.repeat(np.arange(len(seeds)), n)
+            later = order[near] >= np.repeat(order[seeds], n)
+            near, seed = near[later], seed[later]
+            held = np.bincount(seed, minlength=len(seeds))
+            enough = (held >= need)[seed]
+            near, seed = near[enough], seed[enough]
+            if not len(near):
+                continue
+            best = self._most(where, order, near, seed, where[seeds], length)
+            ok = best >= need
+            text = owner[mine][seeds[ok]]
+            texts, which = np.unique(text, return_inverse=True)
+            most = np.zeros(len(texts), dtype=np.int64)
+            np.maximum.at(most, which, best[ok])
+            if len(texts):
+                yield t, texts, most
+
+    @staticmethod
+    def _most(where, order, near, seed, middle, length) -> np.ndarray:
+        """For each seed, the most different words of any block that holds it."""
+        # The last place before of the same word for the same seed.
+        by_word = np.lexsort((near, order[near], seed))
+        same = np.zeros(len(near), dtype=bool)
+        same[1:] = (seed[by_word][1:] == seed[by_word][:-1]) & (order[near[by_word]][1:] == order[near[by_word]][:-1])
+        before = np.full(len(near), -(1 << 62), dtype=np.int64)
+        previous = where[near[by_word]]
+        before[by_word[1:]] = np.where(same[1:], previous[:-1], before[by_word[1:]])
+        # Blocks that count this word begin in from..to, and hold the seed.
+        begin = np.maximum(np.maximum(before + 1, where[near] - length + 1), middle[seed] - length + 1)
+        end = np.minimum(where[near], middle[seed])
+        ok = begin <= end
+        begin, end, seed = begin[ok], end[ok], seed[ok]
+        place = np.concatenate([begin, end + 1])
+        step = np.repeat(np.array([1, -1]), len(begin))
+        both = np.concatenate([seed, seed])
+        run = np.lexsort((step, place, both))  # what ends at a place goes before what begins there
+        level = np.cumsum(step[run])
+        out = np.zeros(len(middle), dtype=np.int64)
+        np.maximum.at(out, both[run], level)
+        return out
 
 
 def scan(docs: DataFrame, templates=TEMPLATES, containment: float = CONTAINMENT) -> DataFrame:
@@ -153,13 +212,11 @@ def scan(docs: DataFrame, templates=TEMPLATES, containment: float = CONTAINMENT)
     ``score`` is the greatest share of a template found in one block, 1 where a base
     phrase stands, 0 where nothing does.
     """
-    frequencies = word_frequencies(docs, templates)
-    order = _ordered(templates, frequencies, containment)
-    vocabulary = _vocabulary(templates)
+    index = Index(templates, word_frequencies(docs, templates), containment)
     phrases = [(_words(p), label) for p, label in PHRASES.items()]
 
     def run(batches):
-        for batch, lo, hi, hashes, first, block in _texts(batches):
+        for batch, lo, hi, hashes, first in _texts(batches):
             n = hi - lo
             owner = np.repeat(np.arange(n), np.diff(first))
             base_n = np.zeros(n, dtype=np.int64)
@@ -183,11 +240,10 @@ def scan(docs: DataFrame, templates=TEMPLATES, containment: float = CONTAINMENT)
                     base[i].add(label)
             labels = [set(s) for s in base]
             score = np.array([1.0 if s else 0.0 for s in base])
-            at, word = _members(vocabulary, hashes)
-            for t, blocks, shared in _join(block[at], word, order):
-                docs_of = owner[np.searchsorted(block, blocks)]
-                for i, s in zip(docs_of.tolist(), (shared / len(order[t][1])).tolist(), strict=True):
-                    labels[i].add(order[t][0])
+            at, word = _members(index.vocabulary, hashes)
+            for t, texts, shared in index.join(at, word, owner[at]):
+                for i, s in zip(texts.tolist(), (shared / index.size[t]).tolist(), strict=True):
+                    labels[i].add(index.labels[t])
                     score[i] = max(score[i], s)
             none = base_n == 0
             yield pa.RecordBatch.from_arrays(

@@ -108,12 +108,13 @@ phrases AS (SELECT label, string_split(p, ' ') AS pw FROM (VALUES {phrases}) v(l
 places AS (SELECT doc_id, label, i - 1 AS place FROM d, phrases, unnest(range(1, len(w) + 1)) u(i) WHERE w[i:i + len(pw) - 1] = pw),
 base AS (SELECT doc_id, count(*) AS n, min(place) AS lo, max(place) AS hi, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM places GROUP BY doc_id),
 tokens AS (SELECT DISTINCT id, label, unnest({words.format("t")}) AS word FROM (VALUES {templates}) v(id, label, t)),
-sizes AS (SELECT id, count(*) AS n FROM tokens GROUP BY id),
-lines AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM low),
-numbered AS (SELECT row_number() OVER () AS block, * FROM lines),
-block_words AS (SELECT DISTINCT block, doc_id, unnest({words.format("line")}) AS word FROM numbered),
-found AS (SELECT doc_id, t.label, count(*) / any_value(s.n) AS score FROM block_words JOIN tokens t USING (word) JOIN sizes s USING (id)
-          GROUP BY block, doc_id, t.id, t.label HAVING count(*) >= 0.8 * any_value(s.n) - 1e-9),
+sizes AS (SELECT id, count(*) AS n, any_value(len({words.format("t")})) AS width FROM tokens JOIN (VALUES {templates}) v(id, l, t) USING (id) GROUP BY id),
+hits AS (SELECT doc_id, i AS place, w[i] AS word FROM d, unnest(range(1, len(w) + 1)) u(i) WHERE w[i] IN (SELECT word FROM tokens)),
+spots AS (SELECT doc_id, place, id, label, word FROM hits JOIN tokens USING (word)),
+-- A block that shares most may be taken to begin at a word of the template.
+found AS (SELECT a.doc_id, a.label, count(DISTINCT b.word) / any_value(s.n) AS score FROM spots a JOIN sizes s ON s.id = a.id
+          JOIN spots b ON b.doc_id IS NOT DISTINCT FROM a.doc_id AND b.id = a.id AND b.place BETWEEN a.place AND a.place + s.width - 1
+          GROUP BY a.doc_id, a.id, a.label, a.place HAVING count(DISTINCT b.word) >= 0.8 * any_value(s.n) - 1e-9),
 every AS (SELECT doc_id, label, score FROM found UNION ALL SELECT doc_id, label, 1.0 FROM places),
 best AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(score) AS score FROM every GROUP BY doc_id)
 SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(base.n, 0)::BIGINT AS n_base, base.lo::BIGINT AS first_word, base.hi::BIGINT AS last_word,

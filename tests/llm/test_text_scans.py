@@ -34,26 +34,71 @@ def license_brute(text):
         places += at
         labels |= {label} if at else set()
     every, score = set(labels), 1.0 if labels else 0.0
-    for line in lower(text or "").split("\n"):
-        have = set(WORD.findall(line))
-        for label, t in license_scan.TEMPLATES:
-            t = set(WORD.findall(lower(t)))
-            if len(have & t) >= 0.8 * len(t) - 1e-9:
+    for label, t in license_scan.TEMPLATES:
+        listed = WORD.findall(lower(t))
+        t = set(listed)
+        for i in range(max(1, len(words) - len(listed) + 1)):
+            have = len(t.intersection(words[i : i + len(listed)]))
+            if have >= 0.8 * len(t) - 1e-9:
                 every.add(label)
-                score = max(score, len(have & t) / len(t))
+                score = max(score, have / len(t))
     return len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels)), ",".join(sorted(every)), score
 
 
-LICENSES = ["Released under the MIT License.\nother", "the mit-License mit LICENSE", "all\nrights reserved", "x All rights reserved 2020", "GNU General Public License, version 3. this work licensed", "apache license, version 2.0 under licensed\n" * 2]
+LICENSES = ["Released under the MIT License.\nother", "the mit-License mit LICENSE", "all\nrights reserved", "x All rights reserved 2020", "civil rights are reserved by all", "GNU General Public License, version 3. this work licensed", "apache license, version 2.0 under licensed\n" * 2]
+#: Notices as they stand in the heads of files, wrapped over lines.
+WRAPPED = {
+    "mit": """/*
+ * Permission is hereby granted, free of charge, to any person obtaining
+ * a copy of this software and associated documentation files (the
+ * "Software"), to deal in the Software without restriction, including
+ * without limitation the rights to use, copy, modify, merge, publish,
+ */""",
+    "bsd": """# Redistribution and use in source and binary forms, with or without
+# modification, are permitted provided that the following conditions
+# are met:""",
+    "gpl": """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.""",
+    "apache": """// You may not use this
+// file except in compliance
+// with the License. You may obtain a copy of
+// the License at""",
+}
 
 
 def test_licenses(spark, sf):
-    for df in (make(spark, odd_texts() + LICENSES, extra=True), spark.read.parquet("/root/testdata/sf0.01/documents.parquet")):
+    for df in (make(spark, odd_texts() + LICENSES + list(WRAPPED.values()), extra=True), spark.read.parquet("/root/testdata/sf0.01/documents.parquet")):
         want = sorted(((r.doc_id, *license_brute(r.text)) for r in df.collect()), key=str)
         assert rows(license_scan.scan(df)) == want
     assert license_scan.scan(make(spark, [])).count() == 0
 
 
+def test_wrapped_notices(spark):
+    """A notice has its label whatever lines it is wrapped over; a few of its words in a row do not."""
+    texts = [f"int x;\n{t}\nint y;" for t in WRAPPED.values()] + ["civil rights are reserved by all", "all\nrights reserved"]
+    got = {r.doc_id: r.labels.split(",") for r in license_scan.scan(make(spark, texts)).collect()}
+    assert all(label in got[i] for i, label in enumerate(WRAPPED))
+    assert got[len(WRAPPED)] == [""] and got[len(WRAPPED) + 1] == ["all-rights-reserved"]
+
+
+def test_license_words_in_disorder(spark):
+    """Template words with repeats, gaps and any order, against brute force."""
+    r = np.random.default_rng(3)
+    texts = []
+    for _ in range(150):
+        _, t = license_scan.TEMPLATES[r.integers(len(license_scan.TEMPLATES))]
+        words = t.split()
+        for _ in range(int(r.integers(0, 8))):
+            words.insert(int(r.integers(len(words) + 1)), str(r.choice([*words, "other", "words"])))
+        if r.random() < 0.3:
+            r.shuffle(words)
+        texts.append(" ".join([str(x) for x in r.choice(["the", "of", "this", "zzz"], int(r.integers(0, 9)))] + words[int(r.integers(0, 4)) :]))
+    df = make(spark, texts)
+    assert rows(license_scan.scan(df)) == sorted(((x.doc_id, *license_brute(x.text)) for x in df.collect()), key=str)
+
+
 # languages
 
 
