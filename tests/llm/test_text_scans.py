@@ -1,6 +1,7 @@
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -287,7 +288,7 @@ def test_table_probes():
 
 
 def plain(t):
-    return re.sub("[ \t\n\x0b\x0c\r]+", " ", lower(t)).encode()
+    return re.sub("[ \t\n\x0b\x0c\r]+", " ", lower(t))
 
 
 def best_edits(item, text):
@@ -303,7 +304,7 @@ def best_edits(item, text):
 def test_decontamination(spark):
     r = np.random.default_rng(2)
     items = [" ".join("".join(r.choice(list("abcdefgh"), r.integers(2, 8))) for _ in range(n)) for n in (9, 14, 25, 40)]
-    rows_ = [(i, t) for i, t in enumerate(items)] + [(8, "short"), (9, None), (10, items[0].upper())]
+    rows_ = [(i, t) for i, t in enumerate(items)] + [(8, "short"), (9, None), (10, items[0].upper()), (11, "日本語のテキストを読む人"), (12, "x y"), (13, "é"), (14, "  "), (15, "ab" * 30), (16, "twenty characters ok")]
     bench = spark.createDataFrame(rows_, "item_id long, text string")
 
     def edited(t, k):
@@ -315,13 +316,14 @@ def test_decontamination(spark):
 
     filler = lambda: " ".join("".join(r.choice(list("abcdefgh"), 5)) for _ in range(30))
     texts = [None, "", "a b", *items, *[filler() + " " + edited(t, int(k * len(t) / 20)) + "\n" + filler() for t in items for k in range(5)], filler(), items[1].replace(" ", "\n\t ")]
+    texts += ["SHORT", "a shor t", "前日本語のテキスを読む人後", "日本語テキ読む人", "x \n Y", "caf\u00e9", "ab" * 40, "ab" * 13 + "c" + "ab" * 16, "twenty charters ok", "tenty charters k"]
     got = {(x.doc_id, x.item_id): x.edits for x in decontaminate.find(make(spark, texts, extra=True), bench).collect()}
     want = {}
     for d, t in enumerate(texts):
         for i, item in rows_:
-            if t is None or item is None or len(item) < decontaminate.Q:
+            p = plain(item or "").strip(" ")
+            if t is None or not p:
                 continue
-            p = plain(item).strip()
             e = best_edits(p, plain(t))
             if e <= decontaminate.budget(len(p))[0]:
                 want[d, i] = e
@@ -335,5 +337,37 @@ def test_decontamination(spark):
 def test_decontamination_blocks(spark, sf, monkeypatch):
     docs, bench = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/benchmark.parquet")
     whole = rows(decontaminate.find(docs, bench))
-    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 2000)
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARACTERS", 2000)
     assert rows(decontaminate.find(docs, bench)) == whole and whole
+
+
+def test_decontamination_of_repetitive_texts(monkeypatch):
+    """Counted in small parts or not at all, repetitive texts give what a plain alignment gives."""
+    r = np.random.default_rng(9)
+    items = ["a" * 40, "ab" * 25, "a" * 20 + "b" + "a" * 20, "-" * 60, "".join(r.choice(list("ab"), 50)), "aaab", "b"]
+    index = decontaminate.Index(list(enumerate(items)))
+    texts = ["".join(r.choice(list("ab"), int(r.integers(1, 200)), p=[p, 1 - p])) for p in (0.5, 0.9, 0.98) for _ in range(12)] + ["a" * 300, "-" * 59, "ab" * 90 + "-" * 70, ""]
+    want = {}
+    for d, t in enumerate(texts):
+        for i, p in enumerate(items):
+            e = best_edits(p, t)
+            if e <= decontaminate.budget(len(p))[0]:
+                want[d, i] = e
+    for hits, stretch, dense in ((1 << 20, 4096, 8), (50, 4096, 8), (1 << 20, 16, 1), (64, 32, 0)):
+        for name, value in (("HITS", hits), ("STRETCH", stretch), ("DENSE", dense)):
+            monkeypatch.setattr(decontaminate, name, value)
+        text, item, start, end, edits = index.matches(*decontaminate.normalise(texts))
+        assert dict(zip(zip(text.tolist(), item.tolist()), edits.tolist())) == want
+        for d, i, a, b, e in zip(text.tolist(), item.tolist(), start.tolist(), end.tolist(), edits.tolist()):
+            assert best_edits(items[i], texts[d][max(0, a - e) : b]) == e
+
+
+def test_decontamination_of_a_long_run_of_one_letter():
+    """Memory and time follow the length of the text."""
+    index = decontaminate.Index([(1, "a" * 200), (2, "a" * 100 + "b" * 100)])
+    points, offsets = decontaminate.normalise(["a" * 1_000_000])
+    tracemalloc.start()
+    text, item, _, _, edits = index.matches(points, offsets)
+    assert (text.tolist(), item.tolist(), edits.tolist()) == ([0], [0], [0])
+    assert tracemalloc.get_traced_memory()[1] < 400 << 20
+    tracemalloc.stop()
