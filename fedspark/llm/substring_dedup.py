@@ -22,19 +22,21 @@ further left).
   than one leaf is a repeat.  All but its first leaf are marked, and runs of
   marked suffixes are the maximal repeats.
 
-Node labels are hashes (64 bits of the prefix, 32 of the window); word sequences
-that differ count as equal with a chance of about 2**-90 a pair.
-
-Defined cases: a null text has no words; fewer than 20 words have no window; a
-null doc_id counts as the smallest; rows that share a doc_id are each judged
-against all, and windows at the same place of such rows do not precede each
-other; other columns of the input are ignored.
+Labels of the nodes are hashes in place of words, which keeps what travels small: a
+node is the hash of its prefix (64 bits), the place in it and a hash of its window (32
+bits), all three compared, so word sequences that differ count as equal with a chance of
+about 2**-90 a pair.  Repeats that are settled on the map side are compared word by word.
+
+Defined cases: a null text has no words; fewer than 20 words have no window; an empty
+table gives an empty result; a null doc_id counts as the smallest; rows that share a
+doc_id are each judged against all, and windows at the same place of such rows do not
+precede each other; rows equal in doc_id and text all get the same result; texts of any length are read whole, in arrays of 60 bytes a word; other columns of
+the input are ignored by ``remove_repeats`` and kept by ``clean``, whatever their names.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -58,10 +60,12 @@ GROUPS_PER_PARTITION = 4
 
 _NO_ID = -(1 << 63)
 _U64, _U32 = np.uint64, np.uint32
+_LOW_BYTES = np.array([(1 << (8 * n)) - 1 for n in range(9)], dtype=np.uint64)
 
 
-def _windows(data, offsets, rows):
-    """Anchor, distance to it, label, row and start word of all windows, in the order of the text."""
+def _windows(data, offsets):
+    """Anchor, distance to it, label, row, start word and place of all windows, in the order of the text;
+    and the ids of all words: equal words, and only they, have equal ids."""
     starts, ends, first = wb.spans(data, offsets, wb.NOT_SPACE)
     hashes = wb.hashes(data, starts, ends)
     n = len(hashes) - WINDOW + 1
@@ -81,9 +85,29 @@ def _windows(data, offsets, rows):
         "anchor": prefixes[keep + at[keep]],
         "away": at[keep].astype(np.uint8),
         "label": (wb.grams(hashes, WINDOW)[keep] >> _U64(32)).astype(_U32),
-        "row": (rows + own).astype(np.int32),
+        "row": own.astype(np.int32),
         "start": (keep - first[own]).astype(np.int32),
-    }
+        "place": keep.astype(np.int32),
+    }, (data, starts, ends)
+
+
+def _same_words(words, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether words i and j are equal, pair by pair, byte by byte."""
+    data, starts, ends = words
+    size = ends[i] - starts[i]
+    same = size == ends[j] - starts[j]
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, 0, (1,))
+    open_ = np.flatnonzero(same)
+    step = 0
+    while len(open_):
+        left = size[open_] - step
+        mask = _LOW_BYTES[np.minimum(left, 8)]
+        differ = (eight[starts[i[open_]] + step] ^ eight[starts[j[open_]] + step]) & mask != 0
+        same[open_[differ]] = False
+        step += 8
+        open_ = open_[~differ & (left > 8)]
+    return same
 
 
 def _key(anchor, away, label):
@@ -113,8 +137,11 @@ def _unpack(blob: bytes) -> dict:
     return out
 
 
-def _earliest(w: dict, docs: np.ndarray) -> np.ndarray:
-    """True where no equal window of this map group starts earlier; by doc_id, then start."""
+def _earliest(w: dict, docs: np.ndarray, words=None) -> np.ndarray:
+    """True where no equal window of this map group starts earlier; by doc_id, then start.
+
+    With ``words`` windows are held against the earliest one word by word.
+    """
     key = _key(w["anchor"], w["away"], w["label"])
     doc = docs[w["row"]]
     if np.all(np.diff(docs) > 0):
@@ -128,35 +155,44 @@ def _earliest(w: dict, docs: np.ndarray) -> np.ndarray:
     lead = order[np.flatnonzero(head)[np.cumsum(head) - 1]]
     out = np.empty(len(order), dtype=bool)
     out[order] = (doc[order] == doc[lead]) & (w["start"][order] == w["start"][lead])
+    if words is not None:
+        later = np.flatnonzero(~out[order])
+        i, j = order[later], lead[later]
+        for k in range(WINDOW):
+            out[i] |= ~_same_words(words, w["place"][i] + k, w["place"][j] + k)
     return out
 
 
 def _map_groups(batches):
-    """Windows of about COMBINE_BYTES of text at a time, with the rows' doc_ids and fingerprints."""
-    parts, docs, fps, held, rows = [], [], [], 0, 0
+    """Windows of about COMBINE_BYTES of text at a time, with the rows' doc_ids and fingerprints and the words."""
+
+    def out(parts, docs, fps):
+        data, docs, fps = np.concatenate([p[0] for p in parts]), np.concatenate(docs), np.concatenate(fps)
+        offsets = np.concatenate([[0], np.cumsum(np.concatenate([p[1] for p in parts]))])
+        made = _windows(data, offsets)
+        if made is not None:
+            yield made[0], docs, fps, made[1]
+
+    parts, docs, fps, held = [], [], [], 0
     for batch in batches:
         data, offsets = wb.utf8(batch.column(2))
         ids, prints = wb.ints(batch.column(0)), wb.ints(batch.column(1))
-        for lo, hi in wb.groups(offsets):
+        for lo, hi in wb.groups(offsets, COMBINE_BYTES):
             a, b = offsets[lo], offsets[hi]
-            w = _windows(data[a:b], offsets[lo : hi + 1] - a, rows)
-            if w is not None:
-                parts.append(w)
+            parts.append((data[a:b], np.diff(offsets[lo : hi + 1])))
             docs.append(ids[lo:hi])
             fps.append(prints[lo:hi])
-            rows += hi - lo
             held += int(b - a)
             if held >= COMBINE_BYTES:
-                if parts:
-                    yield {k: np.concatenate([p[k] for p in parts]) for k in parts[0]}, np.concatenate(docs), np.concatenate(fps)
-                parts, docs, fps, held, rows = [], [], [], 0, 0
+                yield from out(parts, docs, fps)
+                parts, docs, fps, held = [], [], [], 0
     if parts:
-        yield {k: np.concatenate([p[k] for p in parts]) for k in parts[0]}, np.concatenate(docs), np.concatenate(fps)
+        yield from out(parts, docs, fps)
 
 
 def _crowded(batches):
     """Prefixes with more than HEAVY different suffixes in a map group, with that number."""
-    for w, docs, _ in _map_groups(batches):
+    for w, docs, _, _ in _map_groups(batches):
         anchor, count = np.unique(w["anchor"][_earliest(w, docs)], return_counts=True)
         at = count > HEAVY
         if at.any():
@@ -179,8 +215,8 @@ def _mapped(n_groups: int, long_prefixes):
             row = w["row"][at]
             yield g, 0, _pack({"anchor": w["anchor"][at], "doc": docs[row], "fp": fps[row], "start": w["start"][at], "away": w["away"][at], "count": count[r], "label": w["label"][windows[inner]]})
 
-    def flush(w, docs, fps):
-        earliest = _earliest(w, docs)
+    def flush(w, docs, fps, words):
+        earliest = _earliest(w, docs, words)
         known = np.flatnonzero(~earliest)
         if len(known):
             row, start = w["row"][known], w["start"][known]
@@ -205,8 +241,8 @@ def _mapped(n_groups: int, long_prefixes):
         yield from deal(w, docs, fps, left, left[at], count, target)
 
     def run(batches):
-        for w, docs, fps in _map_groups(batches):
-            rows = list(flush(w, docs, fps))
+        for group in _map_groups(batches):
+            rows = list(flush(*group))
             for lo in range(0, len(rows), 64):
                 g, k, b = zip(*rows[lo : lo + 64])
                 yield pa.RecordBatch.from_arrays([pa.array(g, pa.int32()), pa.array(k, pa.int8()), pa.array(b, pa.binary())], names=["grp", "kind", "blob"])
@@ -242,13 +278,13 @@ def _subtree(table: pa.Table) -> pa.Table:
         step = (np.arange(len(label)) - np.repeat(np.cumsum(count) - count, count))[pick]
         start = r["start"][owner].astype(np.int64) + step
         away = (r["away"][owner].astype(np.int64) - step).astype(np.uint8)
-        node = _key(r["anchor"][owner], away, label[pick])
         doc, fp = r["doc"][owner], r["fp"][owner]
-        leaf = np.lexsort((start, fp, doc, node))
-        n = node[leaf]
-        head = np.ones(len(n), dtype=bool)
-        head[1:] = n[1:] != n[:-1]
-        lead = leaf[np.flatnonzero(head)[np.cumsum(head) - 1]] if len(n) else leaf
+        # Leaves below their prefix, place in it and window.
+        node = [r["anchor"][owner], away, label[pick]]
+        leaf = np.lexsort((start, fp, doc, *node[::-1]))
+        head = np.ones(len(leaf), dtype=bool)
+        head[1:] = np.any([x[leaf][1:] != x[leaf][:-1] for x in node], axis=0)
+        lead = leaf[np.flatnonzero(head)[np.cumsum(head) - 1]] if len(leaf) else leaf
         repeat = leaf[(doc[leaf] != doc[lead]) | (start[leaf] != start[lead])]
         if len(repeat):
             repeat = repeat[np.lexsort((start[repeat], fp[repeat], doc[repeat]))]
@@ -299,15 +335,14 @@ def _words_left(raw: np.ndarray, spans: list[dict] | None) -> tuple[list[bytes],
 def _rewritten(batches):
     """Texts without their repeats; rows of which nothing is left go."""
     for batch in batches:
-        at = batch.schema.get_field_index("text")
-        texts, spans = batch.column(at), batch.column(batch.schema.get_field_index("spans"))
+        texts, spans = batch.column(batch.schema.get_field_index("text")), batch.column(batch.num_columns - 1)
         data, offsets = wb.utf8(texts)
         new, keep = texts.to_pylist(), np.ones(batch.num_rows, dtype=bool)
         for i in np.flatnonzero(spans.is_valid().to_numpy(zero_copy_only=False)).tolist():
             left, _ = _words_left(data[offsets[i] : offsets[i + 1]], spans[i].as_py())
             new[i], keep[i] = b" ".join(left).decode("utf-8"), bool(left)
         columns = [pa.array(new, pa.string()) if n == "text" else c for n, c in zip(batch.schema.names, batch.columns, strict=True)]
-        yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names).filter(pa.array(keep)).drop_columns(["spans"])
+        yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names).filter(pa.array(keep)).drop_columns([batch.schema.names[-1]])
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -326,13 +361,18 @@ def repeat_spans(docs: DataFrame) -> DataFrame:
     return packed.groupBy("grp").applyInArrow(_subtree, "rid long, fp long, start int, length int")
 
 
+def _by_text(spans: DataFrame) -> DataFrame:
+    """(rid, fp, spans): a text that stands on several rows has its spans once."""
+    return spans.distinct().groupBy("rid", "fp").agg(F.collect_list(F.struct("start", "length")).alias("spans"))
+
+
 def remove_repeats(docs: DataFrame, digest: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed and kept_text of every row; with ``digest`` kept_sha256 in its place.
 
     ``docs`` needs doc_id and text; kept words are joined by one space.  Each text
     travels once, to meet its spans.
     """
-    spans = repeat_spans(docs).groupBy("rid", "fp").agg(F.collect_list(F.struct("start", "length")).alias("spans"))
+    spans = _by_text(repeat_spans(docs))
     joined = (
         _keyed(docs)
         .join(spans, ["rid", "fp"], "left")
@@ -344,10 +384,11 @@ def remove_repeats(docs: DataFrame, digest: bool = False) -> DataFrame:
 def clean(docs: DataFrame) -> DataFrame:
     """``docs``, all columns, without repeats: a text that has some becomes its kept words joined
     by spaces (with n_chars to match), a text that is all repeats goes, others stay as they are."""
-    if "spans" in docs.columns:
-        raise ValueError("a column named spans would be lost")
-    spans = repeat_spans(docs).groupBy("rid", "fp").agg(F.collect_list(F.struct("start", "length")).alias("spans"))
+    name = "spans"
+    while name.lower() in map(str.lower, docs.columns):
+        name += "_"
+    spans = _by_text(repeat_spans(docs)).withColumnRenamed("spans", name)
     same = F.expr(f"coalesce(cast(d.doc_id as bigint), {_NO_ID}L) = s.rid and xxhash64(d.text) = s.fp".replace(f"{_NO_ID}L", "bigint('-9223372036854775808')"))
-    joined = docs.alias("d").join(spans.alias("s"), same, "left").select("d.*", "s.spans")
+    joined = docs.alias("d").join(spans.alias("s"), same, "left").select("d.*", f"s.{name}")
     out = joined.mapInArrow(_rewritten, docs.schema)
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
