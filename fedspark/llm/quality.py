@@ -8,23 +8,33 @@ Per language and source a minimum-covariance-determinant (MCD) estimate gives
 location and scatter, and documents beyond ``CUTOFF`` in squared Mahalanobis
 distance are rejected.
 
-* The estimate starts at the medians and median absolute deviations, then takes
-  concentration steps: of the rows at hand, the ``CORE`` share with the least
-  distance gives the next mean and covariance.  Rows are summed per group and
-  distance bin (map-side combined; at most ``BINS`` rows a group and task), so a
-  source with a third of all rows is no larger in the shuffle than any other.
+* An estimate has several starts: the medians and median absolute deviations, and means
+  and covariances of small subsets drawn by a hash of the features.  Each start takes
+  ``TRIALS`` concentration steps: of the rows at hand, the ``CORE`` share with the least
+  distance gives the next mean and covariance (rows in the distance bin in which
+  the share ends all count, so ties stand together).  The start whose core has the least
+  determinant goes on for the other steps.
+* Rows are summed per group, start and distance bin (map-side combined; at most ``BINS``
+  rows a group, start and task), so a source with a third of all rows is no larger in the
+  shuffle than any other.
+* Distances are scaled so that their median is that of chi-square where it is larger,
+  never smaller: a core that is too tight must not reject its own group.
 * Features are whole numbers (thousandths), so all sums are exact and results do
   not hang on the order of rows.
 * ``FLOOR`` is added to every standard deviation: differences below it mean
   nothing, and a group whose rows are all alike has a usable scatter.
-* Groups under ``LEAST_GROUP`` rows are pooled by language, then over languages;
-  a pool that is still smaller gives no verdict.
+* A covariance needs rows.  Groups under ``least_group`` sound rows are pooled by language,
+  then together; a pool still smaller is held against all sound rows.  With fewer sound
+  rows than that in all, the verdict is that of the base rules, and ``distance`` is null.
 * Estimates are one row a group.  They are broadcast up to ``BROADCAST_GROUPS``
   groups, counted first; beyond that they are joined by shuffle.
 
 Defined cases: a null text has no words (and fails the base rules); null lang and
 null source are groups of their own; a null doc_id passes through; each of
-several rows with one doc_id is judged by its own text; extra columns are ignored.
+several rows with one doc_id is judged by its own text; rows with equal features have
+equal distances, and a distance of exactly ``CUTOFF`` is kept; an empty table gives an
+empty result; texts of any length are read whole; extra columns are ignored by ``judge``
+and kept by ``keep``.
 """
 
 from __future__ import annotations
@@ -38,7 +48,10 @@ LEAST_WORDS = 10
 REPEAT_PERCENT = 20
 #: Share of a group's rows that the estimate concentrates on.
 CORE = 0.75
-STEPS = 4
+#: Starts, concentration steps of each, and steps in all of the best one.
+STARTS, TRIALS, STEPS = 4, 2, 5
+#: Rows that a subset start is drawn from, on average.
+SUBSET = 30
 #: Squared distance beyond which a document is rejected; chi-square(5) reaches it with 1e-8.
 CUTOFF = 45.0
 LEAST_GROUP = 100
@@ -114,7 +127,7 @@ def _features(stats: DataFrame) -> DataFrame:
     return out.withColumns({f"x{i}": F.expr(f"cast(round({e}) as bigint)") for i, (_, e) in enumerate(FEATURES.values())})
 
 
-def _groups(stats: DataFrame) -> tuple[DataFrame, bool]:
+def _groups(stats: DataFrame, least: int) -> tuple[DataFrame, bool]:
     """(lang, source) to grp: the pair itself, its language, all that is left, or null for no estimate.
 
     Besides, whether what is left is too little, so that its estimate is that of all sound
@@ -123,18 +136,18 @@ def _groups(stats: DataFrame) -> tuple[DataFrame, bool]:
     sizes = stats.where("not base_failed").groupBy("lang", "source").agg(F.count("*").alias("n"))
     pairs = stats.groupBy("lang", "source").agg(F.lit(1).alias("one")).drop("one")
     n = pairs.alias("p").join(sizes.alias("s"), F.expr("p.lang <=> s.lang and p.source <=> s.source"), "left").select("p.lang", "p.source", F.coalesce("n", F.lit(0)).alias("n"))
-    small = n.where(F.col("n") < LEAST_GROUP)
+    small = n.where(F.col("n") < least)
     by_lang = small.groupBy("lang").agg(F.sum("n").alias("n_lang"))
     left = n.alias("p").join(by_lang.alias("b"), F.expr("p.lang <=> b.lang"), "left").select("p.lang", "p.source", "n", "n_lang")
-    n_rest = by_lang.where(F.col("n_lang") < LEAST_GROUP).agg(F.sum("n_lang").alias("n")).first()["n"] or 0
-    whole = 0 < n_rest < LEAST_GROUP and (sizes.agg(F.sum("n").alias("n")).first()["n"] or 0) >= LEAST_GROUP
-    pooled = whole or n_rest >= LEAST_GROUP
+    n_rest = by_lang.where(F.col("n_lang") < least).agg(F.sum("n_lang").alias("n")).first()["n"] or 0
+    whole = 0 < n_rest < least and (sizes.agg(F.sum("n").alias("n")).first()["n"] or 0) >= least
+    pooled = whole or n_rest >= least
     groups = left.select(
         "lang",
         "source",
         F.expr(
-            f"case when n >= {LEAST_GROUP} then to_json(array(lang, source))"
-            f" when n_lang >= {LEAST_GROUP} then to_json(array(lang)) when {str(pooled).lower()} then '*' end"
+            f"case when n >= {least} then to_json(array(lang, source))"
+            f" when n_lang >= {least} then to_json(array(lang)) when {str(pooled).lower()} then '*' end"
         ).alias("grp"),
     )
     return groups, whole
@@ -167,7 +180,9 @@ def _factor(out: DataFrame, cov: dict[tuple[int, int], Column]) -> DataFrame:
         out = out.withColumns(
             {f"w{i}{j}": (F.lit(1.0) if i == j else -sum((F.col(f"l{i}{k}") * F.col(f"w{k}{j}") for k in range(j, i)), F.lit(0.0))) / F.col(f"l{i}{i}") for j in range(i + 1)}
         )
-    return out.select("grp", *[f"m{i}" for i in range(_P)], *[f"w{i}{j}" for i in range(_P) for j in range(i + 1)])
+    # Logarithm of the determinant of the core's covariance, without the scale.
+    goal = sum((2 * F.log(f"l{i}{i}") for i in range(_P)), F.lit(0.0)) - _P * F.log("scale")
+    return out.select("grp", "start", goal.alias("goal"), *[f"m{i}" for i in range(_P)], *[f"w{i}{j}" for i in range(_P) for j in range(i + 1)])
 
 
 def _distance() -> Column:
@@ -176,25 +191,31 @@ def _distance() -> Column:
     return sum((v * v for v in z), F.lit(0.0))
 
 
-def judge(docs: DataFrame) -> DataFrame:
+def judge(docs: DataFrame, least_group: int = LEAST_GROUP) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, distance.
 
     ``distance`` is the squared robust distance (null without an estimate).
     """
-    return _judged(docs).drop("lang", "source", "fp")
+    return _judged(docs, least_group).drop("lang", "source", "fp")
 
 
-def keep(docs: DataFrame) -> DataFrame:
+def keep(docs: DataFrame, least_group: int = LEAST_GROUP) -> DataFrame:
     """The rows of ``docs``, all columns, that are kept."""
-    kept = _judged(docs).where("kept").select("doc_id", "lang", "source", "fp").distinct()
+    kept = _judged(docs, least_group).where("kept").select("doc_id", "lang", "source", "fp").distinct()
     same = F.expr("d.doc_id <=> k.doc_id and d.lang <=> k.lang and d.source <=> k.source and xxhash64(coalesce(d.text, '')) = k.fp")
     return docs.alias("d").join(kept.alias("k"), same, "left_semi")
 
 
-def _judged(docs: DataFrame) -> DataFrame:
+def _best(estimate: DataFrame) -> DataFrame:
+    """Of each group the start with the least determinant; ties go to the first."""
+    names = [c for c in estimate.columns if c != "grp"]
+    return estimate.groupBy("grp").agg(F.min_by(F.struct(*names), F.struct("goal", "start")).alias("best")).select("grp", "best.*")
+
+
+def _judged(docs: DataFrame, least_group: int) -> DataFrame:
     spark = docs.sparkSession
     rows = scratch.table(spark, _features(statistics(docs)), "quality")
-    groups, whole = _groups(rows)
+    groups, whole = _groups(rows, least_group)
     groups = scratch.table(spark, groups, "groups")
     # What an estimate is drawn from: a group's own rows, for what is left maybe all.
     drawn = groups.where("grp is not null")
@@ -211,25 +232,31 @@ def _judged(docs: DataFrame) -> DataFrame:
 
     sound = rows.where("not base_failed")
     grouped = sound.alias("r").join(small(drawn).alias("g"), same).select("grp", *[f"x{i}" for i in range(_P)])
-    middle = grouped.groupBy("grp").agg(*[F.percentile(f"x{i}", F.lit(0.5)).alias(f"m{i}") for i in range(_P)])
+    middle = grouped.groupBy("grp").agg(F.count("*").alias("n"), *[F.percentile(f"x{i}", F.lit(0.5)).alias(f"m{i}") for i in range(_P)])
     around = grouped.join(small(middle), "grp").groupBy("grp").agg(
         *[F.first(f"m{i}").alias(f"m{i}") for i in range(_P)],
         *[F.percentile(F.abs(F.col(f"x{i}") - F.col(f"m{i}")), F.lit(0.5)).alias(f"d{i}") for i in range(_P)],
     )
     floors = [f for f, _ in FEATURES.values()]
     diagonal = {(i, j): (F.pow(1.4826 * F.col(f"d{i}"), 2) + float(floors[i] ** 2) if i == j else F.lit(0.0)) for i in range(_P) for j in range(i + 1)}
-    estimate = scratch.table(spark, _factor(around, diagonal), "estimate")
+    medians = _factor(around.withColumns({"start": F.lit(0), "scale": F.lit(1.0)}), diagonal)
+    tried = grouped.join(small(middle.select("grp", "n")), "grp").withColumn("start", F.explode(F.sequence(F.lit(1), F.lit(STARTS - 1))))
+    drawn_by = F.xxhash64(*[f"x{i}" for i in range(_P)], "start")
+    subsets = _sums(tried.where(F.pmod(drawn_by, F.greatest(F.lit(1), F.floor(F.col("n") / SUBSET))) == 0), "grp", "start")
+    estimate = scratch.table(spark, medians.unionByName(_whitened(subsets.withColumn("scale", F.lit(1.5)))), "estimate")
     for step in range(STEPS):
         bins = F.least(F.lit(BINS - 1), F.floor(F.lit(20.0) * F.log1p("d2")).cast("int")).alias("bin")
-        near = measured(estimate, sound, "inner", drawn).select("grp", bins, *[f"x{i}" for i in range(_P)])
-        summed = _sums(near, "grp", "bin")
-        # At most BINS rows a group from here on.
-        upto = summed.withColumn("before", F.coalesce(F.sum("n").over(Window.partitionBy("grp").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        upto = upto.withColumn("total", F.sum("n").over(Window.partitionBy("grp")))
-        half = upto.where(F.col("before") < F.lit(0.5) * F.col("total")).groupBy("grp").agg(F.max("bin").alias("mid"))
+        if step == TRIALS:
+            estimate = scratch.table(spark, _best(estimate), "estimate")
+        near = measured(estimate, sound, "inner", drawn).select("grp", "start", bins, *[f"x{i}" for i in range(_P)])
+        summed = _sums(near, "grp", "start", "bin")
+        # At most BINS rows a group and start from here on.
+        upto = summed.withColumn("before", F.coalesce(F.sum("n").over(Window.partitionBy("grp", "start").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        upto = upto.withColumn("total", F.sum("n").over(Window.partitionBy("grp", "start")))
+        half = upto.where(F.col("before") < F.lit(0.5) * F.col("total")).groupBy("grp", "start").agg(F.max("bin").alias("mid"))
         core = upto.where(F.col("before") < F.lit(CORE) * F.col("total"))
         names = ["n", *[f"s{i}" for i in range(_P)], *[f"q{i}{j}" for i in range(_P) for j in range(i + 1)]]
-        moments = core.groupBy("grp").agg(*[F.sum(c).alias(c) for c in names]).join(half, "grp")
+        moments = core.groupBy("grp", "start").agg(*[F.sum(c).alias(c) for c in names]).join(half, ["grp", "start"])
         # The median distance should be that of chi-square; the scatter only ever widens.
         moments = moments.withColumn("scale", F.greatest(F.lit(1.0), (F.exp((F.col("mid") + 1) / 20.0) - 1) / _MEDIAN_D2) if step else F.lit(1.5))
         estimate = scratch.table(spark, _whitened(moments), "estimate")
