@@ -49,7 +49,7 @@ from . import wordbytes as wb
 WINDOW = 20
 PREFIX = 8
 #: Text bytes whose windows are combined before they travel.
-COMBINE_BYTES = 6 << 20
+COMBINE_BYTES = 4 << 20
 #: Different suffixes of one prefix in a map group from which it is counted as a candidate.
 HEAVY = 32
 #: Suffixes below one prefix, in the whole corpus, beyond which it is lengthened.
