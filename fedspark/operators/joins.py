@@ -95,10 +95,13 @@ def _numbered(df: DataFrame, order: list[str]) -> DataFrame:
 
 
 def salted_join(left: DataFrame, right: DataFrame, on: list[str], salts: int, how: str = "inner") -> DataFrame:
-    """Equi-join with a hot key on the left dealt over ``salts`` tasks; the right side is copied so often."""
+    """Equi-join with a hot key on the left dealt over ``salts`` tasks; the right side is copied so often.
+
+    A row's salt is a hash of the row, so a task that runs again deals its rows as before.
+    """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"a salted {how} join would repeat rows of the right side")
-    a = left.withColumn("_salt", (F.rand(7) * salts).cast("int"))
+    a = left.withColumn("_salt", F.pmod(F.xxhash64(*[c for c, kind in left.dtypes if "map<" not in kind and kind != "variant"]), F.lit(salts)).cast("int"))
     b = right.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
     return a.join(b, [*on, "_salt"], how).drop("_salt")
 

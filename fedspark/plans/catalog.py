@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import ship
-from . import federated, relational
+from . import federated, relational, web
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _shipped(f) for name, f in {**relational.queries(), **federated.queries()}.items()}
+    return {name: _shipped(f) for name, f in {**relational.queries(), **federated.queries(), **web.queries()}.items()}
 
 
 def _shipped(query):
@@ -25,4 +25,4 @@ def _shipped(query):
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**relational.oracle_sql(), **federated.oracle_sql()}
+    return {**relational.oracle_sql(), **federated.oracle_sql(), **web.oracle_sql()}

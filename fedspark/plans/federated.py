@@ -40,11 +40,11 @@ def join_asof(spark, sf):
     events = _t(spark, sf, "events")
     buys = events.where("event_type = 'purchase'").select("user_id", "ts", F.col("event_id").alias("buy_id"))
     buys = buys.groupBy("user_id", "ts").agg(F.max("buy_id").alias("buy_id"))
-    return asof_join(events.select("event_id", "user_id", "ts"), buys, "ts", ["user_id"], ["buy_id"]).select("event_id", "buy_id")
+    return asof_join(events.select("event_id", "user_id", "ts"), buys, "ts", ["user_id"], ["buy_id"], width=30 * 86400).select("event_id", "buy_id")
 
 
 def join_asof_sliced(spark, sf):
-    """The same with each user's events cut into slices of a day."""
+    """The same with slices of a day, and ties by the event's number."""
     events = _t(spark, sf, "events")
     buys = events.where("event_type = 'purchase'").select("user_id", "ts", F.col("event_id").alias("buy_id"))
     return asof_join(events.select("event_id", "user_id", "ts"), buys, "ts", ["user_id"], ["buy_id"], tie="buy_id", width=86400).select("event_id", "buy_id")
@@ -88,7 +88,7 @@ def cdc_changes_since(spark, sf):
 
 def cdc_classify(spark, sf):
     log = _t(spark, sf, "orders").withColumn("made", F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderdate")).otherwise(F.lit("1990-01-01").cast("timestamp_ntz"))).withColumn("gone", F.col("o_orderkey") % 5 == 0)
-    config = ChangeConfig("o_orderdate", "o_orderkey", "made", "gone", batch_size=10_000, include_data=False)
+    config = ChangeConfig("o_orderdate", "o_orderkey", "made", "gone", batch_size=None, include_data=False)
     return changes_since(log, config, since="2001-01-01 00:00:00").groupBy("operation").agg(F.count("*").alias("n"))
 
 

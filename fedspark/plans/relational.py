@@ -109,7 +109,7 @@ SQL: dict[str, str | tuple[str, str]] = {
         "SELECT n_regionkey, array_to_string(list_sort(list(n_name)), '|') AS names, CAST(len(list(DISTINCT n_regionkey)) AS BIGINT) AS k FROM {nation} GROUP BY n_regionkey",
     ),
     "agg_string": ("SELECT n_regionkey, listagg(n_name, ',') WITHIN GROUP (ORDER BY n_name) AS names FROM {nation} GROUP BY n_regionkey", "SELECT n_regionkey, string_agg(n_name, ',' ORDER BY n_name) AS names FROM {nation} GROUP BY n_regionkey"),
-    "agg_max_by": ("SELECT o_custkey, max_by(o_orderkey, o_orderkey) AS top, min_by(o_orderkey, o_orderkey) AS low FROM {orders} GROUP BY o_custkey", "SELECT o_custkey, arg_max(o_orderkey, o_orderkey) AS top, arg_min(o_orderkey, o_orderkey) AS low FROM {orders} GROUP BY o_custkey"),
+    "agg_max_by": ("SELECT o_custkey, max_by(o_orderkey, struct(o_totalprice, o_orderkey)) AS top, min_by(o_orderkey, struct(o_totalprice, o_orderkey)) AS low FROM {orders} GROUP BY o_custkey", "SELECT o_custkey, arg_max(o_orderkey, row(o_totalprice, o_orderkey)) AS top, arg_min(o_orderkey, row(o_totalprice, o_orderkey)) AS low FROM {orders} GROUP BY o_custkey"),
     "agg_bool": "SELECT o_custkey, bool_and(o_totalprice > 1000) AS every, bool_or(o_orderstatus = 'P') AS some FROM {orders} GROUP BY o_custkey",
     "agg_pivot": (
         "SELECT * FROM (SELECT o_orderpriority, o_orderstatus FROM {orders}) PIVOT (count(*) FOR o_orderstatus IN ('F' AS f, 'O' AS o, 'P' AS p))",
@@ -128,7 +128,7 @@ SQL: dict[str, str | tuple[str, str]] = {
     ),
     "win_running_sum": "SELECT o_orderkey, CAST(sum(CAST(o_totalprice AS DECIMAL(18,4))) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS total FROM {orders}",
     "win_range_frame": "SELECT event_id, count(*) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL '1' DAY PRECEDING AND CURRENT ROW) AS n FROM {events}",
-    "win_moving_avg": "SELECT event_id, CAST(max(CAST(value AS DECIMAL(18,6))) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 3 PRECEDING AND 1 FOLLOWING) AS DOUBLE) AS m FROM {events}",
+    "win_moving_avg": "SELECT event_id, round(CAST(sum(CAST(value AS DECIMAL(18,6))) OVER w AS DOUBLE) / count(value) OVER w, 6) AS m FROM {events} WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 3 PRECEDING AND 1 FOLLOWING)",
     "win_qualify": (
         "SELECT o_custkey, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS r FROM {orders}) WHERE r = 1",
         "SELECT o_custkey, o_orderkey FROM {orders} QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) = 1",

@@ -38,13 +38,13 @@ class Api:
     page_size = 1000
     schema_rows = 100
 
-    def __init__(self, options: dict):
+    def __init__(self, options: dict, known: auth.Auth | None = None):
         self.o = {k.lower(): v for k, v in dict(options).items()}
         if "base" not in self.o:
             raise QueryError("the option base is missing")
-        a = auth.of_file(self.o.get("credential"))
+        a = known or auth.of_file(self.o.get("credential"))
         retry = Retry(tries=int(self.o.get("retries", 5)), base=float(self.o.get("retry_base", 1.0)))
-        self.client = Client(self.o["base"], a.headers(), a.parameters(), float(self.o.get("timeout", 30)), retry)
+        self.client = Client(self.o["base"], None, a.parameters(), float(self.o.get("timeout", 30)), retry, a)
         self.size = int(self.o.get("page_size", self.page_size))
         self.table = self.o.get("table", "")
         self.columns = [c for c in self.o.get("columns", "").split(",") if c]
@@ -262,7 +262,13 @@ class ServiceNow(Api):
             yield from super().read(page)
 
     def tables(self):
-        return sorted(r["name"] for r in self.client.get("api/now/table/sys_db_object", sysparm_fields="name")["result"])
+        names, at = [], 0
+        while True:
+            got = self.client.get("api/now/table/sys_db_object", sysparm_fields="name", sysparm_query="ORDERBYname", sysparm_limit=self.size, sysparm_offset=at)["result"]
+            names += [r["name"] for r in got]
+            at += len(got)
+            if len(got) < self.size:
+                return sorted(set(names))
 
     def aggregate(self, predicates, group_by, measures):
         """Rows of the Stats API; measures are (function, column, alias)."""
@@ -281,7 +287,7 @@ class ServiceNow(Api):
         for g in got if isinstance(got, list) else [got]:
             keys = {x["field"]: x["value"] for x in g.get("groupby_fields", [])}
             stats = g["stats"]
-            values = [float(stats["count"] if f == "count" else stats[f][c]) for f, c, _ in measures]
+            values = [(stats["count"] if f == "count" else stats[f][c]) or None for f, c, _ in measures]
             out.append([*(keys.get(k) for k in group_by), *values])
         return out
 
@@ -343,7 +349,12 @@ class Salesforce(Api):
             return None
         said = ", ".join([*group_by, *(f"{f.upper()}({c if f != 'count' or c else ''}) m{i}" for i, (f, c, _) in enumerate(measures))])
         q = f"SELECT {said} FROM {self.table}{self.where(predicates)}" + (f" GROUP BY {', '.join(group_by)}" if group_by else "")
-        return [[*(r.get(k) for k in group_by), *(r.get(f"m{i}") for i in range(len(measures)))] for r in self.client.request("GET", self._path("query"), {"q": q})["records"]]
+        asked, out = {"path": self._path("query"), "query": {"q": q}}, []
+        while asked is not None:
+            answer = self.send(asked)
+            out += [[*(r.get(k) for k in group_by), *(r.get(f"m{i}") for i in range(len(measures)))] for r in answer["records"]]
+            asked = self.following(answer, asked, 0)
+        return out
 
     def insert(self, record):
         return self.client.request("POST", self._path(f"sobjects/{self.table}"), body=record)
@@ -390,8 +401,8 @@ class Jira(Api):
     page_size = 100
     FLAT = {"project": "project/search", "projects": "project/search", "user": "users/search", "users": "users/search", "status": "status", "priority": "priority", "issuetype": "issuetype", "field": "field"}
 
-    def __init__(self, options):
-        super().__init__(options)
+    def __init__(self, options, known=None):
+        super().__init__(options, known)
         if self.table not in self.FLAT:
             self.size = min(self.size, 100)  # a site gives no more issues at once
 

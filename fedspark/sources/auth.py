@@ -41,6 +41,21 @@ class Auth:
         else:
             self.kind = "none"
 
+    def __getstate__(self):
+        """What goes along with a scan: everything but the lock and the listener."""
+        return {k: v for k, v in self.__dict__.items() if k not in ("_lock", "on_refresh")}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self._lock, self.on_refresh = threading.Lock(), None
+
+    def renew(self) -> bool:
+        """Forget a token that was refused; whether another can be had."""
+        if self.kind != "oauth2":
+            return False
+        self._token = None
+        return True
+
     def headers(self) -> dict[str, str]:
         if self.kind == "oauth2":
             return {"Authorization": f"Bearer {self.access_token()}"}

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
+from . import auth
 from .filters import Predicate
 
 
@@ -26,11 +27,13 @@ class _Changes(DataSourceStreamReader):
     def __init__(self, options):
         self.o = {k.lower(): v for k, v in dict(options).items()}
         self.sync, self.key = self.o["sync_column"], self.o["key_column"]
+        # Read here, where the private file is; it goes to the tasks with the reader.
+        self.auth = auth.of_file(self.o.get("credential"))
 
     def _api(self, **more):
         from .api import KINDS
 
-        return KINDS[self.o["kind"]].api({**self.o, **more})
+        return KINDS[self.o["kind"]].api({**self.o, **more}, self.auth)
 
     def _rows(self, api, predicates):
         for page in api.pages(predicates, []):

@@ -23,13 +23,13 @@ class ChangeConfig:
     created_column: str | None = None
     deleted_column: str | None = None
     poll_seconds: float = 5.0
-    batch_size: int = 100
+    batch_size: int | None = 100
     include_data: bool = True
     since: object = None
     filters: list[str] = field(default_factory=list)
 
     def __post_init__(self):
-        if not 1 <= self.batch_size <= 10_000:
+        if self.batch_size is not None and not 1 <= self.batch_size <= 10_000:
             raise ValueError("batch_size must lie in 1..10000")
         if self.poll_seconds <= 0:
             raise ValueError("poll_seconds must be positive")
@@ -60,7 +60,8 @@ def parse_time(c: str | Column) -> Column:
 
 
 def changes_since(table: DataFrame, config: ChangeConfig, since=None, after_key=None, limit: int | None = None) -> DataFrame:
-    """Change rows after (since, after_key) in order of (sync column, key)."""
+    """Change rows after (since, after_key) in order of (sync column, key): ``limit`` or a batch of
+    them, all where ``batch_size`` is None."""
     sync, key = F.col(config.sync_column), F.col(config.key_column)
     out = table
     for f in config.filters:
@@ -74,7 +75,8 @@ def changes_since(table: DataFrame, config: ChangeConfig, since=None, after_key=
     columns = [classify(config).alias("operation"), key.cast("string").alias("key"), sync.alias("changed_at")]
     if config.include_data:
         columns.append(F.to_json(F.struct(*[F.col(c) for c in table.columns])).alias("data"))
-    return out.orderBy(sync, key).limit(limit or config.batch_size).select(*columns)
+    out, most = out.orderBy(sync, key), config.batch_size if limit is None else limit
+    return (out if most is None else out.limit(most)).select(*columns)
 
 
 def drain(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str) -> None:

@@ -96,7 +96,7 @@ class ViewStore:
         mark = F.lit(view.high_water).cast(self.read(name).schema[view.sync_column].dataType)
         old, new = self.read(name), self._run(view.sql).where(F.col(view.sync_column) >= mark)
         if view.key_column:
-            self._write(view, self.upserted(old, new, view.key_column), "upsert")
+            self._write(view, self.upserted(old, self.latest(new, view.key_column, view.sync_column), view.key_column), "upsert")
         else:
             kept = old.where((F.col(view.sync_column) < mark) | F.col(view.sync_column).isNull())
             self._append(view, kept, old, new, mark)
@@ -109,7 +109,13 @@ class ViewStore:
         path = self._next(view)
         fresh.write.parquet(path)
         view.versions.append(path)
-        self._commit(view, "append")
+        self._commit(view, "append", since=view.rows)
+
+    @staticmethod
+    def latest(new: DataFrame, key: str, sync: str) -> DataFrame:
+        """Of new rows of one key the last; rows without a key stay."""
+        last = new.where(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(F.struct(*new.columns), F.struct(sync, F.xxhash64(*new.columns))).alias("last"))
+        return last.select("last.*").unionByName(new.where(F.col(key).isNull()))
 
     @staticmethod
     def upserted(old: DataFrame, new: DataFrame, key: str, keep_old_where_null: bool = False) -> DataFrame:
@@ -145,14 +151,16 @@ class ViewStore:
         view.schema = df.schema.json()
         self._commit(view, what)
 
-    def _commit(self, view: View, what: str) -> None:
+    def _commit(self, view: View, what: str, since: int = 0) -> None:
+        """Count what was written last (on top of ``since`` rows before) and find its mark."""
         from pyspark.sql.types import StructType
 
-        df = self.spark.read.schema(StructType.fromJson(json.loads(view.schema))).parquet(*view.versions)
+        df = self.spark.read.schema(StructType.fromJson(json.loads(view.schema))).parquet(view.versions[-1])
         wanted = [F.count("*").alias("n")] + ([F.max(view.sync_column).cast("string").alias("m")] if view.sync_column else [])
         row = df.agg(*wanted).first()
-        view.rows = row["n"]
-        view.high_water = row["m"] if view.sync_column else None
+        view.rows = since + row["n"]
+        if view.sync_column and (row["m"] is not None or not since):  # appended rows are none before the mark
+            view.high_water = row["m"]
         view.history.append({"mode": what, "rows": view.rows, "at": datetime.datetime.now(datetime.UTC).isoformat()})
         workdir.write_text(self.spark, f"{self.root}/{view.name}/view.json", json.dumps(asdict(view)))
         self._offer(view)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -14,12 +15,12 @@ _OWN: dict[str, str] = {}
 
 def shared(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session; a temporary folder only in local mode without one."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     app = spark.sparkContext.applicationId
     if app not in _OWN:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         _OWN[app] = tempfile.mkdtemp(prefix="fedspark-work-")
         atexit.register(shutil.rmtree, _OWN[app], ignore_errors=True)
