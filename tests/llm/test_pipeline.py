@@ -43,10 +43,51 @@ def test_run_matches_plain_stages(spark):
     for d, t in left:
         if d not in found:
             ids = enc.encode_ordinary(t)
-            want[d] = (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(t.encode()).hexdigest())
+            raw, ends = t.encode(), np.cumsum([0, *(len(enc.decode_single_token_bytes(i)) for i in ids)]).tolist()
+            want[d] = (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(raw).hexdigest(), sum(raw[e] & 0xC0 == 0x80 for e in ends[:-1]))
     assert out == want
 
 
+def _odd_rows(spark, repeated=True):
+    words = [f"word{i}," for i in range(400)]
+    text = lambda a, n=60: " ".join(words[a : a + n]) + "."
+    texts = [None, "", " \n ", "too short", text(0), text(0), text(100), text(200) + " " + text(0), "x" * 3_000_000 + " " + text(300, 90)]
+    rows = [(i, t, "en" if i % 2 else None, None, None if t is None else len(t)) for i, t in enumerate(texts)]
+    rows += [(None, text(150), "en", "s", 1), (6, text(100), None, None, 1), (6, text(100), None, None, 1)] if repeated else []
+    return rows, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+
+
+def test_odd_cases_in_every_stage(spark, sf):
+    """Nulls, empty and very long texts, repeated rows and doc_ids, clashing names, empty tables."""
+    rows, docs = _odd_rows(spark)
+    for name in ("spans", "rid", "bucket", "fp", "label", "words", "grp", "kept"):
+        docs = docs.withColumn(name, F.lit("x"))
+    got = {}
+    for name, stage in corpus_pipeline.STAGES:
+        got[name] = stage(spark, docs, sf).collect()
+        assert stage(spark, docs.limit(0), sf).count() == 0, name
+    ids = {name: sorted((r.doc_id for r in out), key=str) for name, out in got.items()}
+    # Under 100 sound rows the base rules alone decide.
+    assert ids["quality"] == sorted([4, 5, 6, 6, 6, 7, 8, None], key=str)
+    # 4 and 5 are equal; the three rows of doc_id 6 are one node.
+    assert ids["near_dedup"] == sorted([0, 1, 2, 3, 4, 6, 6, 6, 7, 8, None], key=str)
+    # 5 repeats 4 whole and goes; 7 keeps what is its own.
+    left = {r.doc_id: r.text for r in got["substring_dedup"]}
+    assert 5 not in left and left[7] == rows[7][1].split(". ")[0] + "." and left[8] == rows[8][1]
+    assert len(ids["decontamination"]) == len(rows) and len(ids["byte_bpe"]) == len(rows)
+    assert {r.doc_id: r.n_tokens for r in got["byte_bpe"]}[1] == 0
+
+
+def test_other_results_outlive_a_stage(spark, sf):
+    """A stage sweeps the scratch tables of the stage before it, not those of lazy results elsewhere."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    held = quality.judge(docs)
+    n = docs.count()
+    for _, stage in corpus_pipeline.STAGES[:2]:
+        stage(spark, docs, sf).count()
+    assert held.count() == n
+
+
 def test_stages_keep_the_columns(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES[:-1]:
