@@ -11,7 +11,8 @@ each of them touches are then held in flat arrays, and texts gather from these.
 is held is bounded by bytes: beyond ``HELD_BYTES`` the worker starts afresh.  Where
 the pattern's character classes may be read differently by the library and by the
 splitter (code points of newer Unicode versions; each is tried once), the library
-encodes the whole text.
+cuts the text.  At the end of a partition the worker drops the tokenizer and what it
+holds, as other operators may use the worker next.
 
 Decoding looks the ids' bytes up; a character that two tokens share is put together
 again, because bytes are joined before they are read as UTF-8 (and held back at the
@@ -45,7 +46,7 @@ from . import wordbytes as wb
 #: Bytes of text handed to the library at once.
 BATCH_BYTES = 1 << 20
 #: Bytes of pre-tokens, ids and offsets that a worker holds.
-HELD_BYTES = 64 << 20
+HELD_BYTES = 48 << 20
 _built: dict[str, object] = {}
 
 
@@ -102,14 +103,12 @@ class Codec:
 
     def __init__(self, text: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Regex, Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(text)
         self.tokenizer.encode_special_tokens = True
-        #: For what is cut already.
-        self.words = Tokenizer.from_str(text)
-        self.words.encode_special_tokens = True
-        self.words.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        # Texts are cut before the tokenizer gets them.
+        self.tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         back = {c: b for b, c in enumerate(byte_characters())}
         vocabulary = self.tokenizer.get_vocab()
         self.bytes_of: list[bytes] = [b""] * (max(vocabulary.values()) + 1)
@@ -117,6 +116,7 @@ class Codec:
             self.bytes_of[i] = bytes(back[c] for c in token)
         pattern = json.loads(text)["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.split = regex.compile(pattern).findall
+        self.library_split = pre_tokenizers.Split(Regex(pattern), "isolated").pre_tokenize_str
         self.known: set[str] = set(map(chr, range(128)))
         self.odd: set[str] = set()
         self._forget()
@@ -145,19 +145,11 @@ class Codec:
                 if bool(regex.match(kind, c)) == bool(pre_tokenizers.Split(Regex(kind), "removed").pre_tokenize_str(c)):
                     self.odd.add(c)
 
-    def _library(self, texts: list[str]):
-        """Sizes and flat arrays, as of ``_forget``, of texts that the library encodes."""
-        made = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        n = np.array([len(e) for e in made], dtype=np.int64)
-        ids = np.fromiter((i for e in made for i in e.ids), np.int32, int(n.sum()))
-        spans = np.fromiter((x for e in made for o in e.offsets for x in o), np.int32, 2 * int(n.sum())).reshape(-1, 2)
-        return [n, np.cumsum(n) - n, np.array([len(t) for t in texts], dtype=np.int64)], [ids, spans[:, 0], spans[:, 1]]
-
     def _add(self, words: list[str]) -> None:
         """Hold the library's ids and offsets of each of ``words``, which it gets as they are cut."""
         for lo in range(0, len(words), 1 << 12):
             part = words[lo : lo + (1 << 12)]
-            made = self.words.encode(part, is_pretokenized=True, add_special_tokens=False)
+            made = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
             owner = np.array(made.word_ids, dtype=np.int64)
             n = np.bincount(owner, minlength=len(part))
             spans = np.array(made.offsets, dtype=np.int32).reshape(-1, 2)
@@ -195,16 +187,7 @@ class Codec:
         each of them touches.  Tokens that share a character name it both."""
         self._try_characters(texts)
         odd = [bool(self.odd) and not self.odd.isdisjoint(t) for t in texts]
-        if not any(odd):
-            return self._gather([self.split(t) for t in texts])
-        parts = []
-        for t, whole in zip(texts, odd, strict=True):
-            if whole:
-                (n, _, _), flat = self._library([t])
-                parts.append((n, *flat))
-            else:
-                parts.append(self._gather([self.split(t)]))
-        return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+        return self._gather([[w for w, _ in self.library_split(t)] if o else self.split(t) for t, o in zip(texts, odd, strict=True)])
 
     def decode_bytes(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -230,6 +213,9 @@ def _encoded(batches, tokenizer: str) -> Iterator[tuple]:
         for lo, hi in wb.groups(offsets, BATCH_BYTES):
             texts = [t if t is not None else "" for t in batch.column(1).slice(lo, hi - lo).to_pylist()]
             yield batch.column(0).slice(lo, hi - lo), *codec.encode_flat(texts)
+    _built.clear()
+    del codec
+    wb.release()
 
 
 def _lists(n: np.ndarray, *flat: np.ndarray) -> list[pa.Array]:

@@ -168,6 +168,7 @@ def _signed_rows(batches):
                 ],
                 names=["rid", "n_shingles", "fp1", "fp2", "bands", "firsts"],
             )
+    wb.release()
 
 
 def fingerprints(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -265,6 +266,8 @@ def _packer(n_groups: int, shift: int, settle: bool):
                     held, size, pack = [], 0, pack + 1
         if size:
             yield from out(held, pack)
+        held.clear()
+        wb.release()
 
     return run
 

@@ -197,6 +197,7 @@ def _crowded(batches):
         at = count > HEAVY
         if at.any():
             yield pa.RecordBatch.from_arrays([pa.array(wb.signed(anchor[at])), pa.array(count[at].astype(np.int64))], names=["anchor", "n"])
+    wb.release()
 
 
 def _mapped(n_groups: int, long_prefixes):
@@ -246,6 +247,7 @@ def _mapped(n_groups: int, long_prefixes):
             for lo in range(0, len(rows), 64):
                 g, k, b = zip(*rows[lo : lo + 64])
                 yield pa.RecordBatch.from_arrays([pa.array(g, pa.int32()), pa.array(k, pa.int8()), pa.array(b, pa.binary())], names=["grp", "kind", "blob"])
+        wb.release()
 
     return run
 

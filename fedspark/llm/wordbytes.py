@@ -7,6 +7,8 @@ a text is; only word-level arrays (16 bytes a word) are kept for a group of text
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +28,12 @@ FOLD[65:91] += 32
 _LOW = np.array([(1 << (8 * n)) - 1 for n in range(9)], dtype=np.uint64)
 
 
+def release() -> None:
+    """Give memory that is free again back to the system; a worker may wait long for its next task."""
+    with contextlib.suppress(OSError, AttributeError):  # there only with glibc
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def byte_class(test) -> np.ndarray:
     """A table of 256 booleans."""
     return np.array([bool(test(b)) for b in range(256)])
