@@ -33,7 +33,7 @@ import hashlib
 import json
 import os
 from collections.abc import Iterable, Iterator
-from itertools import chain, count
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -98,6 +98,18 @@ def _put(held: np.ndarray, at: int, new: np.ndarray) -> np.ndarray:
     return held
 
 
+class _Places(dict):
+    """The place of each pre-token; one that was not met before gets the next and stands in ``fresh``."""
+
+    def __init__(self) -> None:
+        self.fresh: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = place = len(self)
+        self.fresh.append(word)
+        return place
+
+
 class Codec:
     """Encoder and decoder of one vocabulary; built once a worker."""
 
@@ -114,6 +126,7 @@ class Codec:
         self.bytes_of: list[bytes] = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             self.bytes_of[i] = bytes(back[c] for c in token)
+        self.size_of = np.array(list(map(len, self.bytes_of)), dtype=np.int64)
         pattern = json.loads(text)["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.split = regex.compile(pattern).findall
         self.library_split = pre_tokenizers.Split(Regex(pattern), "isolated").pre_tokenize_str
@@ -130,7 +143,7 @@ class Codec:
         return _built[key]
 
     def _forget(self) -> None:
-        self.place: dict[str, int] = {}
+        self.place = _Places()
         self.held = self.used = 0
         #: Of all pre-tokens met: number of ids, first id's place, length; ids, starts and ends.
         self.sizes, self.flat = [np.zeros(0, np.int64)] * 3, [np.zeros(0, np.int32)] * 3
@@ -146,29 +159,34 @@ class Codec:
                     self.odd.add(c)
 
     def _add(self, words: list[str]) -> None:
-        """Hold the library's ids and offsets of each of ``words``, which it gets as they are cut."""
+        """Hold the ids of each of ``words``, which the library gets as they are cut, and their offsets:
+        the bytes of the ids follow each other in the word, and each byte is of one character."""
         for lo in range(0, len(words), 1 << 12):
             part = words[lo : lo + (1 << 12)]
-            made = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
-            owner = np.array(made.word_ids, dtype=np.int64)
-            n = np.bincount(owner, minlength=len(part))
-            spans = np.array(made.offsets, dtype=np.int32).reshape(-1, 2)
-            sizes = [n, np.cumsum(n) - n + self.used, np.fromiter(map(len, part), np.int64, len(part))]
-            self.sizes = [_put(x, len(self.place) - len(words) + lo, y) for x, y in zip(self.sizes, sizes, strict=True)]
-            self.flat = [_put(x, self.used, y) for x, y in zip(self.flat, (np.array(made.ids, dtype=np.int32), spans[:, 0], spans[:, 1]), strict=True)]
-            self.used += len(owner)
+            (made,) = self.tokenizer.encode_batch_fast([part], is_pretokenized=True, add_special_tokens=False)
+            ids = np.array(made.ids, dtype=np.int32)
+            written = [w.encode() for w in part]
+            raw = np.frombuffer(b"".join(written), dtype=np.uint8)
+            size, ends = self.size_of[ids], np.cumsum(self.size_of[ids])
+            if ends[-1] != len(raw):
+                raise ValueError("the vocabulary lacks a byte")
+            n = np.diff(np.searchsorted(ends, np.cumsum(np.fromiter(map(len, written), np.int64, len(part))), "right"), prepend=0)
+            length = np.fromiter(map(len, part), np.int64, len(part))
+            character, before = np.cumsum((raw & 0xC0) != 0x80), np.repeat(np.cumsum(length) - length, n)
+            flat = [ids, (character[ends - size] - 1 - before).astype(np.int32), (character[ends - 1] - before).astype(np.int32)]
+            self.sizes = [_put(x, len(self.place) - len(words) + lo, y) for x, y in zip(self.sizes, (n, np.cumsum(n) - n + self.used, length), strict=True)]
+            self.flat = [_put(x, self.used, y) for x, y in zip(self.flat, flat, strict=True)]
+            self.used += len(ids)
 
     def _gather(self, texts: list[list[str]]):
         """Sizes of the texts and their flat arrays, from their pre-tokens."""
         if self.held > HELD_BYTES:
             self._forget()
-        words = list(chain.from_iterable(texts))
-        fresh = list(set(words).difference(self.place))
-        self.place.update(zip(fresh, count(len(self.place))))
+        first = np.cumsum([0, *map(len, texts)])
+        index = np.fromiter(map(self.place.__getitem__, chain.from_iterable(texts)), np.int64, first[-1])
+        fresh, self.place.fresh = self.place.fresh, []
         self.held += sum(4 * len(w) + 200 for w in fresh)
         self._add(fresh)
-        index = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
-        first = np.cumsum([0, *map(len, texts)])
         n, at, length = (x[index] for x in self.sizes)
         inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - at, n)
         before = np.cumsum(length) - length
