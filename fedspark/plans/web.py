@@ -156,6 +156,15 @@ def web_join_reduced(spark, sf):
     return engine.join_reduced(few, "n_nationkey", db, "customer", "c_nationkey").select(F.col("c_custkey").cast("bigint"), "n_name")
 
 
+def web_join_reduced_sql(spark, sf):
+    """The same from the engine's SQL alone."""
+    engine, db, _ = _tickets(spark, sf, ("customer", "c_custkey"))
+    files = name("files")
+    engine.attach(files, sf, ["nation"])
+    df = engine.sql(f"SELECT c_custkey, n_name FROM {db}.customer JOIN {files}.nation ON c_nationkey = n_nationkey WHERE n_regionkey = 2")
+    return df.select(F.col("c_custkey").cast("bigint"), "n_name")
+
+
 # aggregates
 
 
@@ -346,6 +355,7 @@ ORACLES = {
     "web_issues_lists": "SELECT CAST(r_regionkey AS VARCHAR) AS id, left(r_name, 2) AS key, r_name AS name FROM region",
     "web_join_files": "SELECT r_name, count(*) AS n, max(s_name) AS last FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY r_name",
     "web_join_reduced": "SELECT c_custkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_regionkey = 2",
+    "web_join_reduced_sql": "SELECT c_custkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_regionkey = 2",
     "web_tickets_aggregate": "SELECT c_mktsegment, count(*) AS n, min(c_name) AS first, max(c_custkey) AS last FROM customer WHERE c_nationkey > 5 GROUP BY c_mktsegment",
     "web_tickets_aggregate_sql": "SELECT c_mktsegment, count(*) AS n, min(c_name) AS first, max(c_custkey) AS last FROM customer WHERE c_nationkey > 5 AND c_acctbal < 9000 GROUP BY c_mktsegment",
     "web_objects_aggregate_sql": "SELECT c_name, count(*) AS n, max(c_custkey) AS last FROM customer WHERE c_acctbal > 0 GROUP BY c_name",
@@ -367,7 +377,7 @@ ORACLES = {
 
 QUERIES = [
     web_rest_scan, web_rest_cursor, web_rest_filters, web_tickets_scan, web_tickets_one_task, web_tickets_order_limit, web_tickets_attachments, web_tickets_tables,
-    web_objects_scan, web_objects_describe, web_issues_scan, web_issues_lists, web_join_files, web_join_reduced, web_tickets_aggregate, web_tickets_aggregate_sql,
+    web_objects_scan, web_objects_describe, web_issues_scan, web_issues_lists, web_join_files, web_join_reduced, web_join_reduced_sql, web_tickets_aggregate, web_tickets_aggregate_sql,
     web_objects_aggregate_sql, web_aggregate_here, web_rest_changes, web_tickets_changes, web_objects_changes, web_issues_changes, web_change_stream,
     dbapi_cursor, dbapi_executemany, dbapi_async, engine_qualify, engine_path_in_from, engine_directory, engine_local_tables, engine_materialized_view,
 ]

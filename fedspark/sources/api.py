@@ -103,6 +103,8 @@ class Api:
 class ApiReader(DataSourceReader):
     def __init__(self, api: Api, schema: T.StructType):
         self.api, self.schema, self.predicates = api, schema, []
+        if "semi_column" in api.o and api.o.get("filters") != "off":  # keys that the table is joined with
+            self.predicates.append(filters.Predicate(api.o["semi_column"], "in", tuple(json.loads(api.o["semi_keys"]))))
 
     def pushFilters(self, pushed):
         for f in pushed:

@@ -118,6 +118,33 @@ def test_joins_across_sources(engine, server, spark):
     assert any("callerINuser" in q.get("sysparm_query", "") for _, _, q, _, _ in server.asked())
 
 
+def test_joins_reduced_from_sql(engine, server, spark, tmp_path):
+    """Keys of files are sent where the join drops all other rows; never where those are needed."""
+    spark.createDataFrame([("user1", 1), ("user3", 2), ("user3", 3), (None, 4)], "who string, n int").write.parquet(f"{tmp_path}/few.parquet")
+    spark.createDataFrame(INCIDENTS).createOrReplaceTempView("plain_incidents")
+    few = f"parquet.`{tmp_path}/few.parquet`"
+    forms = [  # query, whether keys are sent
+        ("SELECT number, n FROM {sn} i JOIN {few} f ON i.caller = f.who", True),
+        ("SELECT number, n FROM {few} f LEFT JOIN {sn} i ON f.who = i.caller AND f.n < 3", True),
+        ("SELECT number FROM {sn} i WHERE caller IN (SELECT who FROM {few})", True),
+        ("SELECT number FROM {sn} i WHERE EXISTS (SELECT 1 FROM {few} f WHERE f.who = i.caller AND n > 1)", True),
+        ("SELECT number, n FROM {sn} i LEFT JOIN {few} f ON i.caller = f.who", False),
+        ("SELECT number, n FROM {sn} i FULL JOIN {few} f ON i.caller = f.who", False),
+        ("SELECT number FROM {sn} i LEFT ANTI JOIN {few} f ON i.caller = f.who", False),
+        ("SELECT number FROM {sn} WHERE caller NOT IN (SELECT who FROM {few} WHERE who IS NOT NULL)", False),
+        ("SELECT i.number, j.number AS other FROM {sn} i JOIN {few} f ON i.caller = f.who JOIN {sn} j ON j.priority = f.n", False),
+        ("SELECT number, (SELECT max(priority) FROM {sn}) AS top FROM {sn} i JOIN {few} f ON i.caller = f.who", False),
+        ("WITH c AS (SELECT * FROM {sn}) SELECT a.number FROM c a JOIN {few} f ON a.caller = f.who UNION ALL SELECT number FROM c", False),
+        ("SELECT number, n FROM {sn} i JOIN (SELECT * FROM {few} WHERE rand() < 2) f ON i.caller = f.who", False),
+        ("SELECT number, n FROM {sn} i JOIN (SELECT * FROM {few} WHERE n > 9) f ON i.caller = f.who", False),
+    ]
+    for form, sent in forms:
+        server.asked()
+        got, want = engine.sql(form.format(sn="sn.incident", few=few)), spark.sql(form.format(sn="plain_incidents", few=few))
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())), form
+        assert any("callerINuser" in q.get("sysparm_query", "") for _, _, q, _, _ in server.asked()) == sent, form
+
+
 def test_filters_pushed_or_not_give_equal_rows(engine, spark):
     import random
 
