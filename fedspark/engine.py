@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import qualify, ship, sources
+from . import qualify, ship, sources, workdir
 from .errors import ConfigError, EngineError, QueryError, SourceError
 from .functions import register as register_functions
 from .operators import semi_join_reduce
@@ -513,7 +513,13 @@ class Engine:
                     n += 1
             yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
 
-        n = found.mapInArrow(change, "n bigint").agg(F.sum("n")).first()[0] or 0
+        # All keys are kept before the first row changes: pages read during the changes would skip rows.
+        kept = workdir.fresh(self.spark, "keys")
+        try:
+            found.write.parquet(kept)
+            n = self.spark.read.schema(found.schema).parquet(kept).mapInArrow(change, "n bigint").agg(F.sum("n")).first()[0] or 0
+        finally:
+            workdir.delete(self.spark, kept)
         return self.spark.createDataFrame([(n,)], "num_affected_rows bigint")
 
     def _assignments(self, text: str, end: int, args) -> dict:

@@ -2,7 +2,7 @@
 
 import re
 
-from fedspark.plans import catalog
+from fedspark.plans import catalog, web
 
 
 def tables(spark, folder, **rows):
@@ -20,3 +20,14 @@ def test_a_lateral_limit_keeps_its_order(spark, tmp_path):
     assert "o_totalprice" in window[1] and "DESC" in window[1]
     dear = lambda c: sorted(range(c, 2000, 50), key=lambda i: (-(i * 7919 % 2003), i))[:2]
     assert sorted(map(tuple, df.collect())) == sorted((c, o) for c in range(50) for o in dear(c))
+
+
+def test_rows_are_found_before_any_is_changed(spark, tmp_path):
+    """Deleting while pages are read by offset would skip rows of later pages."""
+    supplier = spark.range(1, 2401).selectExpr("id AS s_suppkey", "concat('s', id) AS s_name", "CAST(id % 25 AS INT) AS s_nationkey", "CAST(id AS DOUBLE) AS s_acctbal")
+    region = spark.createDataFrame([(0, "HERE")], "r_regionkey int, r_name string")
+    engine, db, s = web._issues(spark, tables(spark, tmp_path, supplier=supplier, region=region))
+    engine.sql(f"DELETE FROM {db}.issues WHERE s_suppkey % 100 = 7")
+    methods = [method for method, _, _ in s.asked]
+    assert methods.count("DELETE") == 24 and "DELETE" not in methods[: len(methods) - 24]
+    assert sorted(r["s_suppkey"] for r in s.tables["issues"]) == [i for i in range(1, 2401) if i % 100 != 7]
