@@ -2,6 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import re
+import shutil
+import tempfile
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -224,25 +232,49 @@ def schema_evolve(spark, sf):
 
 
 def _derby(spark, sf):
+    """An embedded database of the driver, attached to be changed."""
     from ..engine import Engine
 
-    url = f"jdbc:derby:memory:db{abs(hash(workdir.fresh(spark, 'db')))};create=true"
-    con = spark._jvm.java.sql.DriverManager.getConnection(url)
+    folder = tempfile.mkdtemp(prefix="fedspark-derby-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    url = f"jdbc:derby:{folder}/db"
+    con = spark._jvm.java.sql.DriverManager.getConnection(f"{url};create=true")
     s = con.createStatement()
     s.executeUpdate("CREATE TABLE NATION (N_NATIONKEY INT PRIMARY KEY, N_NAME VARCHAR(40), N_REGIONKEY INT)")
     for r in _t(spark, sf, "nation").collect():
         s.executeUpdate(f"INSERT INTO NATION VALUES ({r['n_nationkey']}, '{r['n_name']}', {r['n_regionkey']})")
     con.close()
     engine = Engine(spark)
-    name = f"derby{abs(hash(url))}"
+    name = f"derby{uuid.uuid4().hex}"
     engine.attach(name, url, driver="org.apache.derby.jdbc.EmbeddedDriver")
     return engine, name
 
 
+def _published(engine, db) -> str:
+    """The database as it is now, closed, packed and attached from the shared folder.
+
+    An embedded database belongs to one process; packed, it is read-only and any executor can open it.
+    """
+    spark, url = engine.spark, engine.attached[db]["options"]["url"]
+    try:
+        spark._jvm.java.sql.DriverManager.getConnection(f"{url};shutdown=true")
+    except Py4JJavaError as e:
+        if e.java_exception.getSQLState() != "08006":  # which says that it was closed
+            raise
+    folder = os.path.dirname(url.removeprefix("jdbc:derby:"))
+    packed = shutil.make_archive(f"{folder}/packed", "zip", folder, "db")
+    path = workdir.fresh(spark, "derby") + ".jar"
+    fs, where = workdir.filesystem(spark, path)
+    fs.copyFromLocalFile(spark._jvm.org.apache.hadoop.fs.Path(f"file://{packed}"), where)
+    name = f"{db}_packed"
+    engine.attach(name, f"jdbc:derby:jar:({re.sub('^file:/*', '/', path)})db", driver="org.apache.derby.jdbc.EmbeddedDriver")
+    return name
+
+
 def scan_jdbc(spark, sf):
     """Filter and aggregate run in the database."""
     engine, db = _derby(spark, sf)
-    return engine.sql(f"SELECT N_REGIONKEY AS n_regionkey, count(*) AS n, max(N_NAME) AS last FROM {db}.APP.NATION WHERE N_NATIONKEY > 3 GROUP BY N_REGIONKEY")
+    return engine.sql(f"SELECT N_REGIONKEY AS n_regionkey, count(*) AS n, max(N_NAME) AS last FROM {_published(engine, db)}.APP.NATION WHERE N_NATIONKEY > 3 GROUP BY N_REGIONKEY")
 
 
 def dml_jdbc_update(spark, sf):

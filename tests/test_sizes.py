@@ -1,6 +1,9 @@
 """Cases that show only in larger tables or on a cluster, made small."""
 
+import os
 import re
+import subprocess
+import sys
 
 from fedspark.plans import catalog, web
 
@@ -31,3 +34,22 @@ def test_rows_are_found_before_any_is_changed(spark, tmp_path):
     methods = [method for method, _, _ in s.asked]
     assert methods.count("DELETE") == 24 and "DELETE" not in methods[: len(methods) - 24]
     assert sorted(r["s_suppkey"] for r in s.tables["issues"]) == [i for i in range(1, 2401) if i % 100 != 7]
+
+
+CLUSTER = """
+import sys
+from pyspark.sql import SparkSession
+from fedspark.plans import catalog
+spark = SparkSession.builder.master("local-cluster[2,1,1024]").config("spark.executor.memory", "700m").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", sys.argv[1]).getOrCreate()
+for name in ("scan_jdbc",):
+    df = catalog.queries()[name](spark, sys.argv[2])
+    print("ROWS", df.count(), sorted(map(tuple, df.repartition(2).collect())))
+"""
+
+
+def test_executors_reach_the_database(sf, tmp_path):
+    """Executors are other processes: they cannot see a database inside the driver."""
+    env = {**os.environ, "SPARK_SCALA_VERSION": "2.13", "PYSPARK_PYTHON": sys.executable, "SPARK_WORKER_DIR": str(tmp_path / "worker")}
+    done = subprocess.run([sys.executable, "-c", CLUSTER, str(tmp_path / "shared"), sf], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=150)
+    rows = [r for r in done.stdout.splitlines() if r.startswith("ROWS")]
+    assert [r.split()[1] for r in rows] == ["5"], done.stderr[-2000:]
