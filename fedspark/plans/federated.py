@@ -280,7 +280,7 @@ def scan_jdbc(spark, sf):
 def dml_jdbc_update(spark, sf):
     engine, db = _derby(spark, sf)
     engine.sql(f"UPDATE {db}.APP.NATION SET N_NAME = 'X' WHERE N_REGIONKEY = ?", [1])
-    return engine.sql(f"SELECT N_NATIONKEY AS n_nationkey, N_NAME AS n_name FROM {db}.APP.NATION")
+    return engine.sql(f"SELECT N_NATIONKEY AS n_nationkey, N_NAME AS n_name FROM {_published(engine, db)}.APP.NATION")
 
 
 def dml_jdbc_delete(spark, sf):
