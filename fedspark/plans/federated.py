@@ -286,7 +286,7 @@ def dml_jdbc_update(spark, sf):
 def dml_jdbc_delete(spark, sf):
     engine, db = _derby(spark, sf)
     engine.sql(f"DELETE FROM {db}.APP.NATION WHERE N_REGIONKEY < 2")
-    return engine.sql(f"SELECT N_NATIONKEY AS n_nationkey FROM {db}.APP.NATION")
+    return engine.sql(f"SELECT N_NATIONKEY AS n_nationkey FROM {_published(engine, db)}.APP.NATION")
 
 
 def _attached(spark, sf):

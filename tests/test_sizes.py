@@ -41,7 +41,7 @@ import sys
 from pyspark.sql import SparkSession
 from fedspark.plans import catalog
 spark = SparkSession.builder.master("local-cluster[2,1,1024]").config("spark.executor.memory", "700m").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", sys.argv[1]).getOrCreate()
-for name in ("scan_jdbc", "dml_jdbc_update"):
+for name in ("scan_jdbc", "dml_jdbc_update", "dml_jdbc_delete"):
     df = catalog.queries()[name](spark, sys.argv[2])
     print("ROWS", df.count(), sorted(map(tuple, df.repartition(2).collect())))
 """
@@ -52,5 +52,5 @@ def test_executors_reach_the_database(sf, tmp_path):
     env = {**os.environ, "SPARK_SCALA_VERSION": "2.13", "PYSPARK_PYTHON": sys.executable, "SPARK_WORKER_DIR": str(tmp_path / "worker")}
     done = subprocess.run([sys.executable, "-c", CLUSTER, str(tmp_path / "shared"), sf], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=150)
     rows = [r for r in done.stdout.splitlines() if r.startswith("ROWS")]
-    assert [r.split()[1] for r in rows] == ["5", "25"], done.stderr[-2000:]
+    assert [r.split()[1] for r in rows] == ["5", "25", "15"], done.stderr[-2000:]
     assert rows[1].count("'X'") == 5
