@@ -32,6 +32,17 @@ class Page(InputPartition):
     request: dict | None = None
 
 
+#: Most tasks of one read; a task reads neighbouring pages one after the other.
+TASKS = 48
+
+
+@dataclass
+class Run(InputPartition):
+    """The pages of one task."""
+
+    pages: list[Page]
+
+
 class Api:
     """One kind of service.  ``o`` are the table's options."""
 
@@ -117,11 +128,14 @@ class ApiReader(DataSourceReader):
         wanted = self.api.columns or []
         # Filtered columns must come back, as Spark looks at them again.
         columns = [*wanted, *sorted({p.column for p in self.predicates} - set(wanted))] if wanted else []
-        return self.api.pages(self.predicates, columns)
+        pages = self.api.pages(self.predicates, columns)
+        step = -(-len(pages) // TASKS)
+        return [Run(pages[at : at + step]) for at in range(0, len(pages), step)]
 
     def read(self, partition):
-        for r in self.api.read(partition):
-            yield row(r, self.schema)
+        for page in partition.pages:
+            for r in self.api.read(page):
+                yield row(r, self.schema)
 
 
 class ApiWriter(DataSourceWriter):

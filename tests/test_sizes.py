@@ -5,7 +5,9 @@ import re
 import subprocess
 import sys
 
-from fedspark.plans import catalog, web
+from fedspark.plans import catalog, web, webstand
+from fedspark.sources import api
+from fedspark.sources.filters import Predicate
 
 
 def tables(spark, folder, **rows):
@@ -54,3 +56,63 @@ def test_executors_reach_the_database(sf, tmp_path):
     rows = [r for r in done.stdout.splitlines() if r.startswith("ROWS")]
     assert [r.split()[1] for r in rows] == ["5", "25", "15"], done.stderr[-2000:]
     assert rows[1].count("'X'") == 5
+
+
+def stood(n):
+    """A service with ``n`` rows, and how often a row was looked at for a condition."""
+    rows = [{"k": i, "name": f"n{i % 7}", "sys_id": str(i)} for i in range(n)]
+    return webstand.Stand("127.0.0.1", {"t": rows}, {"t": "k"})
+
+
+def looked(monkeypatch):
+    seen, plain = [], webstand._test
+    monkeypatch.setattr(webstand, "_test", lambda *a: seen.append(1) or plain(*a))
+    return seen
+
+
+def read(reader):
+    return [r["k"] for run in reader.partitions() for page in run.pages for r in reader.api.read(page)]
+
+
+def test_many_pages_are_few_tasks_and_one_search(monkeypatch):
+    s, seen = stood(4000), looked(monkeypatch)
+    reader = api.ApiReader(api.ServiceNow({"base": s.uri("http"), "table": "t", "page_size": 40}), None)
+    reader.predicates = [Predicate("k", ">=", 100)]
+    assert len(reader.partitions()) <= api.TASKS
+    assert sorted(read(reader), key=int) == list(range(100, 4000))
+    assert len(seen) == 2 * 4000  # the number of rows, and the rows in order
+
+
+def test_groups_and_chains_are_found_once_and_pages_can_be_had_again(monkeypatch):
+    s, seen = stood(1000), looked(monkeypatch)
+    site = api.Salesforce({"base": s.uri("http"), "table": "t"})
+    asked = site.request([Predicate("k", ">=", 100)], ["k"], 0, 1000)
+    first = site.send(asked)
+    again = site.following(first, asked, 40)
+    assert site.rows(site.send(again)) == site.rows(site.send(again)) == [{"k": i} for i in range(140, 180)]
+    rows = site.aggregate([Predicate("k", ">=", 100)], ["k"], [("count", None, "n")])
+    assert rows == [[i, 1] for i in range(100, 1000)] and len(seen) == 1000
+
+
+def test_endpoint_rows_are_searched_once_for_all_pages():
+    s = stood(2000)
+    site = api.Rest({"base": s.uri("http"), "table": "rows/t", "data_path": "data.items", "paging": "offset", "page_size": 30})
+    found = [s._rest("GET", ["rows", "t"], {"name": "n3", "limit": "30", "offset": str(at)}, None) for at in (0, 30)]
+    assert len(s._found) == 1 and [len(f["data"]["items"]) for f in found] == [30, 30]
+    reader = api.ApiReader(site, None)
+    reader.predicates = [Predicate("name", "=", "n3")]
+    assert read(reader) == list(range(3, 2000, 7))
+    s._change("t", "DELETE", "3", None)  # what was found before is not given again
+    assert read(reader) == list(range(10, 2000, 7))
+
+
+def test_changes_of_many_rows_go_by_an_index():
+    s = stood(500)
+    for k in range(0, 500, 2):
+        s._change("t", "DELETE", str(k), None)
+    s._change("t", "PATCH", "7", {"name": "x"})
+    s._change("t", "POST", None, {"k": 900, "name": "y"})
+    s._change("t", "DELETE", "900", None)
+    s._change("t", "PATCH", "9", {"k": 901})
+    s._change("t", "DELETE", "901", None)
+    assert [r["k"] for r in s.tables["t"]] == [k for k in range(1, 500, 2) if k != 9] and s.tables["t"][3]["name"] == "x"
