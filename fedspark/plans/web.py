@@ -25,7 +25,7 @@ def _t(spark: SparkSession, sf: str, table: str) -> DataFrame:
 
 def _rest(spark, sf, table="customer", key="c_custkey", **options) -> tuple[Engine, str, Stand]:
     engine, s, db = Engine(spark), stand(spark, sf, **{table: key}), name("rest")
-    engine.attach(db, s.uri("http"), **{"data_path": "data.items", "paging": "offset", "page_size": 30, "id_column": key, **options})
+    engine.attach(db, s.uri("http"), **{"data_path": "data.items", "paging": "offset", "page_size": 30, "strands": 12, "id_column": key, **options})
     engine.add_table(db, f"rows/{table}", table)
     return engine, db, s
 

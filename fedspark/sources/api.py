@@ -167,10 +167,21 @@ class _Source(DataSource):
 class Rest(Api):
     """A JSON endpoint.  ``data_path``, ``paging`` (none, offset, page, cursor), ``limit_param``,
     ``offset_param``, ``page_param``, ``cursor_path``, ``cursor_param``, ``filter_param``
-    (one JSON object instead of parameters), ``id_column``."""
+    (one JSON object instead of parameters), ``id_column``, ``strands``: that many tasks read pages
+    in turn, each to its first page that is not full; only for services that keep to the size asked
+    for and answer with no rows beyond the end."""
 
     page_size = 100
 
+    @property
+    def strands(self):
+        return int(self.o.get("strands", 1)) if self.o.get("paging") in ("offset", "page") and self.limit is None else 1
+
+    def pages(self, predicates, columns):
+        if self.strands == 1:
+            return super().pages(predicates, columns)
+        return [Page(at, -1, self.request(predicates, columns, at, self.size)) for at in range(0, self.strands * self.size, self.size)]
+
     def request(self, predicates, columns, offset, size):
         query = {}
         sent = filters.parameters(predicates)
@@ -201,7 +212,7 @@ class Rest(Api):
             return {"path": cursor} if str(cursor).startswith("http") else {**asked, "query": {**query, self.o.get("cursor_param", "cursor"): cursor}}
         if got < int(query[self.o.get("limit_param", "limit")]):
             return None
-        key, step = (self.o.get("offset_param", "offset"), got) if paging == "offset" else (self.o.get("page_param", "page"), 1)
+        key, step = (self.o.get("offset_param", "offset"), got if self.strands == 1 else self.strands * self.size) if paging == "offset" else (self.o.get("page_param", "page"), self.strands)
         return {**asked, "query": {**query, key: int(query[key]) + step}}
 
     def insert(self, record):

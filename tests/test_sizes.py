@@ -5,6 +5,8 @@ import re
 import subprocess
 import sys
 
+import pytest
+
 from fedspark.plans import catalog, web, webstand
 from fedspark.sources import api
 from fedspark.sources.filters import Predicate
@@ -106,6 +108,19 @@ def test_endpoint_rows_are_searched_once_for_all_pages():
     assert read(reader) == list(range(10, 2000, 7))
 
 
+@pytest.mark.parametrize("n", [0, 1, 29, 30, 31, 119, 120, 121, 400])
+@pytest.mark.parametrize("paging", ["offset", "page"])
+def test_strands_have_every_row_once(n, paging):
+    s = stood(n)
+    options = {"base": s.uri("http"), "table": "rows/t", "data_path": "data.items", "paging": paging, "page_size": 30, "strands": 4}
+    site = api.Rest(options)
+    if paging == "page":  # the stand knows offsets only
+        plain = site.send
+        site.send = lambda r: plain({**r, "query": {"limit": r["query"]["limit"], "offset": (int(r["query"]["page"]) - 1) * 30}})
+    reader = api.ApiReader(site, None)
+    assert len(reader.partitions()) == 4 and sorted(read(reader)) == list(range(n))
+
+
 def test_changes_of_many_rows_go_by_an_index():
     s = stood(500)
     for k in range(0, 500, 2):
