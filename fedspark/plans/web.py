@@ -32,9 +32,8 @@ def _rest(spark, sf, table="customer", key="c_custkey", **options) -> tuple[Engi
 
 def _tickets(spark, sf, *tables: tuple[str, str], **options) -> tuple[Engine, str, Stand]:
     engine, s, db = Engine(spark), stand(spark, sf, **dict(tables)), name("tickets")
-    for rows in s.tables.values():
-        for r in rows:
-            r["sys_id"] = str(next(iter(r.values())))
+    for table, key in tables:
+        s.derive(table, "sys_id", key, str)
     s.keys = dict.fromkeys(s.keys, "sys_id")
     engine.attach(db, s.uri("servicenow"), [t for t, _ in tables], insecure=True, page_size=s.most, **options)
     return engine, db, s
@@ -42,8 +41,7 @@ def _tickets(spark, sf, *tables: tuple[str, str], **options) -> tuple[Engine, st
 
 def _objects(spark, sf, table="customer", key="c_custkey") -> tuple[Engine, str, Stand]:
     engine, s, db = Engine(spark), stand(spark, sf, **{table: key}), name("objects")
-    for r in s.tables[table]:
-        r["Id"] = f"A{r[key]}"
+    s.derive(table, "Id", key, lambda v: f"A{v}")
     s.keys = {table: "Id"}
     engine.attach(db, s.uri("salesforce"), [table], insecure=True)
     return engine, db, s
