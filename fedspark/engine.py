@@ -317,25 +317,38 @@ class Engine:
         api = sources.KINDS[known["kind"]].api(known["options"]) if known.get("kind") in sources.KINDS else None
         rows = None
         if api is not None and hasattr(api, "aggregate") and all(f in ("count", "sum", "avg", "min", "max") for f, _, _ in measures):
-            rows = api.aggregate(list(where), group_by, measures)
+            rows = self._groups(known, api, list(where), group_by, measures)
         self.last_report = Report(f"aggregate {name}.{table}")
         self.last_report.step("aggregate", pushed=rows is not None)
         if rows is not None:
             told = [*((g, kind[g].dataType) for g in group_by), *((a, _measure_type(f, c, kind)) for f, c, a in measures)]
-            return self._told(rows, told)
+            return self._told(rows, list(range(len(told))), told)
         df = self.table(name, table)
         for p in where:
             df = df.where(_condition(p))
         out = [(F.count("*") if f == "count" and not c else getattr(F, f)(c)).cast(_measure_type(f, c, kind)).alias(a) for f, c, a in measures]
         return df.groupBy(*group_by).agg(*out)
 
-    def _told(self, rows: list[list], columns: list[tuple]) -> DataFrame:
-        """What a service told, which may be text, as rows of the types given."""
-        text = self.spark.createDataFrame([tuple(None if x is None else str(x) for x in r) for r in rows], ", ".join(f"c{i} string" for i in range(len(columns))))
+    def _groups(self, known: dict, api, where: list, group_by: list[str], measures: list[tuple]) -> DataFrame | list[list] | None:
+        """What a service tells of groups, as text: read by a task where it comes in pages, else here."""
+        if not hasattr(api, "aggregate_request"):
+            return api.aggregate(where, group_by, measures)
+        asked = api.aggregate_request(where, group_by, measures)
+        if asked is None:
+            return None
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in (*group_by, *(f"m{i}" for i in range(len(measures))))])
+        options = {**known["options"], "request": json.dumps(asked), "schema_json": schema.json()}
+        return self.spark.read.format(known["format"]).options(**options).load().toDF(*[f"c{i}" for i in range(len(schema))])
+
+    def _told(self, rows: DataFrame | list[list], at: list[int], columns: list[tuple]) -> DataFrame:
+        """Places ``at`` of what a service told, which may be text, as columns of the types given."""
+        text = rows
+        if isinstance(rows, list):
+            text = self.spark.createDataFrame([tuple(None if r[i] is None else str(r[i]) for i in range(max(at) + 1)) for r in rows], ", ".join(f"c{i} string" for i in range(max(at) + 1)))
         # Whole numbers may come as 7.0.
         whole = ("tinyint", "smallint", "int", "bigint")
         cast = lambda i, t: F.col(f"c{i}").cast("decimal(38,6)").cast(t) if t.simpleString() in whole else F.col(f"c{i}").cast(t)
-        return text.select(*[cast(i, t).alias(name) for i, (name, t) in enumerate(columns)])
+        return text.select(*[cast(i, t).alias(name) for i, (name, t) in zip(at, columns, strict=True)])
 
     def _aggregate_of(self, text: str, df: DataFrame) -> DataFrame | None:
         """The answer to a query that is one aggregate over one web table, from the service itself.
@@ -371,14 +384,14 @@ class Engine:
         where = _predicates(plan.child())
         if where is None or not measures:
             return None
-        rows = api.aggregate(where, group, measures)
+        rows = self._groups(known, api, where, group, measures)
         if rows is None:
             return None
         self.last_report.step("aggregate", table=".".join(mine[0]), pushed=True)
         at = {g: i for i, g in enumerate(group)}
-        picked = [[r[at[c]] if isinstance(c, str) else r[len(group) + c] for c, _ in columns] for r in rows]
+        places = [at[c] if isinstance(c, str) else len(group) + c for c, _ in columns]
         assert all(g in kind.fieldNames() for g in group)
-        return self._told(picked, [(f.name, f.dataType) for _, f in columns])
+        return self._told(rows, places, [(f.name, f.dataType) for _, f in columns])
 
     def bulk_insert(self, name: str, table: str, rows: DataFrame, most_bytes: int = 50 << 20) -> int:
         """Rows to a service's bulk jobs, from the tasks that have them; returns their number.

@@ -5,7 +5,8 @@ order and limit are said there, how many pages there are, and where the rows sta
 an answer - and the shared reader makes one task a run of pages.  Options:
 
 ``base``, ``table``, ``credential`` (file), ``page_size``, ``columns``, ``limit``,
-``order_by``, ``filters`` (``off`` to send none), ``retries``, ``retry_base``, ``timeout``.
+``order_by``, ``filters`` (``off`` to send none), ``retries``, ``retry_base``, ``timeout``,
+``request`` (JSON: read the answers to this request and those that follow, in place of the table).
 """
 
 from __future__ import annotations
@@ -125,6 +126,8 @@ class ApiReader(DataSourceReader):
             yield f  # Spark checks it again
 
     def partitions(self):
+        if "request" in self.api.o:
+            return [Run([Page(0, -1, json.loads(self.api.o["request"]))])]
         wanted = self.api.columns or []
         # Filtered columns must come back, as Spark looks at them again.
         columns = [*wanted, *sorted({p.column for p in self.predicates} - set(wanted))] if wanted else []
@@ -371,12 +374,18 @@ class Salesforce(Api):
     def tables(self):
         return sorted(x["name"] for x in self.client.get(self._path("sobjects"))["sobjects"])
 
-    def aggregate(self, predicates, group_by, measures):
+    def aggregate_request(self, predicates, group_by, measures):
+        """The request for groups, which come page by page with measures named m0, m1 and so on."""
         if any(filters.soql(p) is None for p in predicates):
             return None
         said = ", ".join([*group_by, *(f"{f.upper()}({c if f != 'count' or c else ''}) m{i}" for i, (f, c, _) in enumerate(measures))])
         q = f"SELECT {said} FROM {self.table}{self.where(predicates)}" + (f" GROUP BY {', '.join(group_by)}" if group_by else "")
-        asked, out = {"path": self._path("query"), "query": {"q": q}}, []
+        return {"path": self._path("query"), "query": {"q": q}}
+
+    def aggregate(self, predicates, group_by, measures):
+        asked, out = self.aggregate_request(predicates, group_by, measures), []
+        if asked is None:
+            return None
         while asked is not None:
             answer = self.send(asked)
             out += [[*(r.get(k) for k in group_by), *(r.get(f"m{i}") for i in range(len(measures)))] for r in answer["records"]]

@@ -7,6 +7,8 @@ import pytest
 
 from fedspark.plans import columns, web, webstand
 from fedspark.plans.columns import Columns
+from fedspark.sources import api
+from fedspark.sources.filters import Predicate
 
 ROWS = [{"k": i, "name": None if i % 11 == 0 else f'n{i % 7}", "%s\n', "x": i % 13 / 7, "n": None if i % 5 == 0 else i % 3, "b": i % 2 == 0, "sys_id": str(i)} for i in range(2500)]
 
@@ -68,8 +70,22 @@ def test_keys_of_a_join_leave_the_rows_as_columns(spark, sf):
     assert isinstance(s._tables["customer"], Columns)
 
 
+def test_groups_are_read_by_a_task_and_not_while_planning(spark, sf):
+    engine, db, s = web._objects(spark, sf)
+    df = engine.sql(f"SELECT c_name, count(*) AS n, max(c_custkey) AS last FROM {db}.customer WHERE c_acctbal > 0 GROUP BY c_name")
+    asked = lambda: [p for _, p, q in s.asked if "GROUP BY" in q.get("q", "") or "/more/" in p]
+    assert not asked()
+    assert df.count() > s.most and len(asked()) >= 3
+
+
 def test_a_request_is_taken_when_it_is_whole():
     held = bytearray(b"POST /a?b=1 HTTP/1.1\r\nContent-Type: application/json\r\ncontent-length: 4\r\n\r\n[1")
     assert webstand._whole(held) is None
     held += b"2]GET /c HTTP/1.1\r\n\r\n"
     assert webstand._whole(held) == ("POST", "/a?b=1", True, b"[12]") and webstand._whole(held) == ("GET", "/c", False, b"") and not held
+
+
+def test_a_filter_that_the_service_lacks_is_grouped_here(monkeypatch):
+    monkeypatch.setattr(api.filters, "soql", lambda p: None)
+    site = api.Salesforce({"base": "http://127.0.0.1:9", "table": "t"})
+    assert site.aggregate_request([Predicate("k", "=", 1)], ["k"], []) is None and site.aggregate([Predicate("k", "=", 1)], ["k"], []) is None
