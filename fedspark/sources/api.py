@@ -14,12 +14,15 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import batched
 
+import pyarrow as pa
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..errors import QueryError
-from ..schema.infer import infer_schema, row
+from ..schema.infer import coerce, infer_schema, row
 from . import auth, filters
 from .http import Client, Retry, dig
 
@@ -35,6 +38,8 @@ class Page(InputPartition):
 
 #: Most tasks of one read; a task reads neighbouring pages one after the other.
 TASKS = 48
+#: Rows that are handed on at once, and the types of values that a column takes as they are.
+BATCH, AS_IT_IS = 4096, {T.StringType(): {str}, T.LongType(): {int}, T.DoubleType(): {float}, T.BooleanType(): {bool}}
 
 
 @dataclass
@@ -136,9 +141,19 @@ class ApiReader(DataSourceReader):
         return [Run(pages[at : at + step]) for at in range(0, len(pages), step)]
 
     def read(self, partition):
-        for page in partition.pages:
-            for r in self.api.read(page):
-                yield row(r, self.schema)
+        rows = (r for page in partition.pages for r in self.api.read(page))
+        if not all(f.dataType in AS_IT_IS for f in self.schema.fields):
+            yield from (row(r, self.schema) for r in rows)
+            return
+        kinds = to_arrow_schema(self.schema)
+        for some in batched(rows, BATCH):
+            yield pa.RecordBatch.from_arrays([pa.array(self._values(some, f), k.type) for f, k in zip(self.schema.fields, kinds, strict=True)], schema=kinds)
+
+    @staticmethod
+    def _values(rows, field) -> list:
+        values = [r.get(field.name) for r in rows]
+        plain = {*map(type, values)} - {type(None)} <= AS_IT_IS[field.dataType]
+        return values if plain else [coerce(v, field.dataType) for v in values]
 
 
 class ApiWriter(DataSourceWriter):

@@ -63,6 +63,21 @@ def test_blocks_beyond_what_is_kept_are_made_again(monkeypatch):
     assert rows.json(2500, 10) == "" and len(columns._TEXTS.held) == 1
 
 
+def test_rows_travel_as_batches_with_their_types(spark):
+    _, packed = both()
+    site = api.Rest({"base": packed.uri("http"), "table": "rows/t", "data_path": "data.items", "paging": "offset", "page_size": 100})
+    reader = api.ApiReader(site, site.discover())
+    (run,) = reader.partitions()
+    got = list(reader.read(run))
+    assert all(isinstance(b, pa.RecordBatch) for b in got) and sum(b.num_rows for b in got) == 2500
+    assert pa.Table.from_batches(got).select(list(ROWS[0])).to_pylist() == ROWS
+    odd = [{"a": 1, "b": "x"}, {"a": "7", "b": 5}, {"a": None}, {"a": 2.0, "b": True}]
+    kinds = reader.schema.fields
+    text, whole = next(f for f in kinds if f.name == "name"), next(f for f in kinds if f.name == "k")
+    assert reader._values([{"name": r.get("b")} for r in odd], text) == ["x", "5", None, "True"]
+    assert reader._values([{"k": r.get("a")} for r in odd], whole) == [1, 7, None, 2]
+
+
 def test_keys_of_a_join_leave_the_rows_as_columns(spark, sf):
     engine, db, s = web._tickets(spark, sf, ("customer", "c_custkey"))
     few = spark.read.parquet(f"{sf}/nation.parquet").where("n_regionkey = 2")
