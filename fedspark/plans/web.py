@@ -23,10 +23,10 @@ def _t(spark: SparkSession, sf: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{table}.parquet")
 
 
-def _rest(spark, sf, table="customer", key="c_custkey", **options) -> tuple[Engine, str, Stand]:
+def _rest(spark, sf, table="customer", key="c_custkey", path=None, **options) -> tuple[Engine, str, Stand]:
     engine, s, db = Engine(spark), stand(spark, sf, **{table: key}), name("rest")
     engine.attach(db, s.uri("http"), **{"data_path": "data.items", "paging": "offset", "page_size": 30, "strands": 12, "id_column": key, **options})
-    engine.add_table(db, f"rows/{table}", table)
+    engine.add_table(db, path or f"rows/{table}", table)
     return engine, db, s
 
 
@@ -67,9 +67,9 @@ def web_rest_scan(spark, sf):
 
 def web_rest_cursor(spark, sf):
     """Pages in a chain of cursors."""
-    engine, db, _ = _rest(spark, sf, paging="cursor", cursor_path="next", limit_param="size")
-    engine.add_table(db, "rows/customer?mode=cursor", "chained")
-    return _typed(engine.sql(f"SELECT c_custkey, c_name FROM {db}.chained"), _t(spark, sf, "customer"))
+    # Without a mode the endpoint would give all its rows at once, to find their schema.
+    engine, db, _ = _rest(spark, sf, path="rows/customer?mode=cursor", paging="cursor", cursor_path="next", limit_param="size")
+    return _typed(engine.sql(f"SELECT c_custkey, c_name FROM {db}.customer"), _t(spark, sf, "customer"))
 
 
 def web_rest_filters(spark, sf):

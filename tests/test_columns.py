@@ -93,6 +93,12 @@ def test_groups_are_read_by_a_task_and_not_while_planning(spark, sf):
     assert df.count() > s.most and len(asked()) >= 3
 
 
+def test_no_answer_of_a_chain_is_larger_than_a_page(spark, sf, monkeypatch):
+    sizes, plain = [], webstand.Stand._rest
+    monkeypatch.setattr(webstand.Stand, "_rest", lambda *a: sizes.append(len(json.loads(got := plain(*a))["data"]["items"])) or got)
+    assert web.web_rest_cursor(spark, sf).count() == sum(sizes[1:]) and max(sizes) <= webstand.Stand.most
+
+
 def test_a_request_is_taken_when_it_is_whole():
     held = bytearray(b"POST /a?b=1 HTTP/1.1\r\nContent-Type: application/json\r\ncontent-length: 4\r\n\r\n[1")
     assert webstand._whole(held) is None
