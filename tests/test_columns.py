@@ -110,3 +110,14 @@ def test_a_filter_that_the_service_lacks_is_grouped_here(monkeypatch):
     monkeypatch.setattr(api.filters, "soql", lambda p: None)
     site = api.Salesforce({"base": "http://127.0.0.1:9", "table": "t"})
     assert site.aggregate_request([Predicate("k", "=", 1)], ["k"], []) is None and site.aggregate([Predicate("k", "=", 1)], ["k"], []) is None
+
+
+def test_a_condition_is_put_to_each_distinct_value_once(monkeypatch):
+    seen, plain = [], webstand._test
+    monkeypatch.setattr(webstand, "_test", lambda *a: seen.append(1) or plain(*a))
+    _, packed = both()
+    assert told(packed, "GET", "api/now/table/t", {"sysparm_query": "n=2^x<1^ORDERBYsys_id", "sysparm_limit": "3"})["result"][0]["sys_id"] == min(r["sys_id"] for r in ROWS if r["n"] == 2 and r["x"] < 1)
+    assert len(seen) == 4 + 13  # n and x have so many values
+    rows, q = packed._tables["t"], {"n": "2", "limit": "30"}
+    assert [told(packed, "GET", "rows/t", {**q, "offset": str(at)})["data"]["items"] for at in (0, 30)] == [[r for r in ROWS if r["n"] == 2][at : at + 30] for at in (0, 30)]
+    assert packed._tables["t"] is rows
