@@ -290,9 +290,12 @@ class Engine:
             return None
         mine, at = {a.exprId().id(): a for a in _seq(leaf.output())}, [a.exprId().id() for a in _seq(other.output())]
         for e in _conjuncts(condition):
-            if not _is(e, "EqualTo") or not all(_is(x, "AttributeReference") for x in (e.left(), e.right())):
+            if not _is(e, "EqualTo"):
                 continue
-            a, b = (e.left(), e.right()) if e.left().exprId().id() in mine else (e.right(), e.left())
+            sides = [_unwidened(x) for x in (e.left(), e.right())]
+            if not all(_is(x, "AttributeReference") for x in sides):
+                continue
+            a, b = sides if sides[0].exprId().id() in mine else sides[::-1]
             if a.exprId().id() not in mine or b.exprId().id() not in at or a.dataType().simpleString() not in ("string", "tinyint", "smallint", "int", "bigint"):
                 continue
             small = DataFrame(self.spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(self.spark._jsparkSession, other), self.spark)
@@ -650,6 +653,13 @@ def _predicates(plan) -> list[filters.Predicate] | None:
     return out if not plan.children().size() else None
 
 
+def _unwidened(e):
+    """An attribute below a cast to a wider whole number, which changes no value."""
+    whole = ("tinyint", "smallint", "int", "bigint")
+    wider = _is(e, "Cast") and e.child().dataType().simpleString() in whole and e.dataType().simpleString() in whole
+    return e.child() if wider and whole.index(e.child().dataType().simpleString()) < whole.index(e.dataType().simpleString()) else e
+
+
 def _conjuncts(e):
     if _is(e, "And"):
         yield from _conjuncts(e.left())

@@ -121,3 +121,12 @@ def test_a_condition_is_put_to_each_distinct_value_once(monkeypatch):
     rows, q = packed._tables["t"], {"n": "2", "limit": "30"}
     assert [told(packed, "GET", "rows/t", {**q, "offset": str(at)})["data"]["items"] for at in (0, 30)] == [[r for r in ROWS if r["n"] == 2][at : at + 30] for at in (0, 30)]
     assert packed._tables["t"] is rows
+
+
+def test_keys_from_sql_leave_the_rows_as_columns(spark, sf):
+    engine, db, s = web._tickets(spark, sf, ("customer", "c_custkey"))
+    files = webstand.name("files")
+    engine.attach(files, sf, ["nation"])
+    n = engine.sql(f"SELECT c_custkey, n_name FROM {db}.customer JOIN {files}.nation ON c_nationkey = n_nationkey WHERE n_regionkey = 2").count()
+    pages = [q for _, p, q in s.asked if p.endswith("/table/customer") and "c_nationkeyIN" in q["sysparm_query"]]
+    assert isinstance(s._tables["customer"], Columns) and len(pages) == -(-n // s.most)
