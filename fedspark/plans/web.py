@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import asyncio
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,8 +25,16 @@ def _t(spark: SparkSession, sf: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{table}.parquet")
 
 
+def _engine_and_stand(spark, sf, **keys) -> tuple[Engine, Stand]:
+    """The stand's rows are loaded while the engine is set up; neither needs the other."""
+    bound = inheritable_thread_target(spark)  # the session itself where threads are not pinned
+    with ThreadPoolExecutor(1) as pool:
+        coming = pool.submit(stand if bound is spark else bound(stand), spark, sf, **keys)
+        return Engine(spark), coming.result()
+
+
 def _rest(spark, sf, table="customer", key="c_custkey", path=None, **options) -> tuple[Engine, str, Stand]:
-    engine, s, db = Engine(spark), stand(spark, sf, **{table: key}), name("rest")
+    (engine, s), db = _engine_and_stand(spark, sf, **{table: key}), name("rest")
     engine.attach(db, s.uri("http"), **{"data_path": "data.items", "paging": "offset", "page_size": 30, "strands": 12, "id_column": key, **options})
     engine.add_table(db, path or f"rows/{table}", table)
     return engine, db, s

@@ -1,9 +1,11 @@
 """A stand-in's rows as columns give the answers that rows as dicts give, and what reads them stays small."""
 
 import json
+import threading
 
 import pyarrow as pa
 import pytest
+from pyspark.errors import AnalysisException
 
 from fedspark.plans import columns, web, webstand
 from fedspark.plans.columns import Columns
@@ -130,3 +132,16 @@ def test_keys_from_sql_leave_the_rows_as_columns(spark, sf):
     n = engine.sql(f"SELECT c_custkey, n_name FROM {db}.customer JOIN {files}.nation ON c_nationkey = n_nationkey WHERE n_regionkey = 2").count()
     pages = [q for _, p, q in s.asked if p.endswith("/table/customer") and "c_nationkeyIN" in q["sysparm_query"]]
     assert isinstance(s._tables["customer"], Columns) and len(pages) == -(-n // s.most)
+
+
+@pytest.mark.parametrize("pinned", [True, False])
+def test_rows_are_loaded_while_the_engine_is_set_up(spark, sf, monkeypatch, pinned):
+    began, seen, load, engine = threading.Event(), [], web.stand, web.Engine
+    monkeypatch.setattr(web, "stand", lambda *a, **k: began.set() or load(*a, **k))
+    monkeypatch.setattr(web, "Engine", lambda s: seen.append(began.wait(10)) or engine(s))
+    if not pinned:
+        monkeypatch.setattr(web, "inheritable_thread_target", lambda s: s)
+    want = spark.read.parquet(f"{sf}/customer.parquet").where("c_mktsegment = 'BUILDING' AND c_acctbal > 1000 AND c_name LIKE '%1%'").select("c_custkey", "c_acctbal")
+    assert sorted(web.web_rest_filters(spark, sf).collect()) == sorted(want.collect()) and seen == [True]
+    with pytest.raises(AnalysisException):
+        web._rest(spark, f"{sf}/none")
